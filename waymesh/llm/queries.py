@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import langid, toxicity
+from waymesh.llm import chat, langid, quality, simhash, toxicity
 from waymesh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op6_simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op7_quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op8_chat_format(table(spark, sf_dir, "conversations"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9_language_id(table(spark, sf_dir, "documents"))
 
@@ -23,9 +35,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op5_toxicity": op5,
+        "op6_simhash_dedup": op6,
+        "op7_quality_rules": op7,
+        "op8_chat_format": op8,
         "op9_language_id": op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_format": chat.OP8_SQL}
