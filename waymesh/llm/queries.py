@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import chat, langid, quality, simhash, toxicity
+from waymesh.llm import chat, langid, quality, secret_scan, simhash, toxicity
 from waymesh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9_language_id(table(spark, sf_dir, "documents"))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.op10_secret_scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_toxicity": op5,
@@ -39,6 +43,7 @@ def queries() -> dict[str, Query]:
         "op7_quality_rules": op7,
         "op8_chat_format": op8,
         "op9_language_id": op9,
+        "op10_secret_scan": op10,
     }
 
 
