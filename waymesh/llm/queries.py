@@ -6,12 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import chat, langid, quality, secret_scan, simhash, toxicity
+from waymesh.llm import chat, langid, packing, quality, secret_scan, simhash, token_store, toxicity
 from waymesh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op1_packing(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.op2_token_store(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +52,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_packing": op1,
+        "op2_token_store": op2,
         "op5_toxicity": op5,
         "op6_simhash_dedup": op6,
         "op7_quality_rules": op7,
