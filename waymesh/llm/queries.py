@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import chat, langid, packing, quality, secret_scan, simhash, token_store, toxicity
+from waymesh.llm import chat, langid, packing, quality, secret_scan, simhash, token_store, toxicity, vector_dedup
 from waymesh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.op2_token_store(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.op3_embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1,
         "op2_token_store": op2,
+        "op3_embedding_dedup": op3,
         "op5_toxicity": op5,
         "op6_simhash_dedup": op6,
         "op7_quality_rules": op7,
