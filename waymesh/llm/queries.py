@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import chat, langid, packing, quality, secret_scan, simhash, token_store, toxicity, vector_dedup
+from waymesh.llm import chat, langid, packing, quality, secret_scan, simhash, sp_sampling, token_store, toxicity, vector_dedup
 from waymesh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.op3_embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sp_sampling.op4_segmentation_sampling(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op1_packing": op1,
         "op2_token_store": op2,
         "op3_embedding_dedup": op3,
+        "op4_segmentation_sampling": op4,
         "op5_toxicity": op5,
         "op6_simhash_dedup": op6,
         "op7_quality_rules": op7,
