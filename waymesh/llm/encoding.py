@@ -1,8 +1,9 @@
 """Token ids of whole texts with the tokenizers library.
 
 A byte-level vocabulary never joins a character to white space that follows it, so a text
-is the sequence of its chunks, each some white space and what follows up to the next. Most
-chunks come again and again: the ids of a chunk are kept, within a bound, and the library
+is the sequence of its chunks, each some white space and what follows up to the next; and as
+letters and other characters never join, a chunk that starts with Latin letters ends after
+them. Most chunks come again and again: the ids of a chunk are kept, within a bound, and the library
 is asked for new ones only. Chunks of plain letters, digits and punctuation go straight to
 the library's model; all others go through its whole tokenizer.
 """
@@ -17,7 +18,9 @@ import regex
 
 #: White space of Unicode; what stands between chunks.
 _BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+#: Latin letters, and what can follow a run of them without belonging to it.
+_LATIN, _AFTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "\\x00-@\\[-`{-\\x7f"
+_CHUNK = re.compile(f"[{_BLANK}]*[{_LATIN}]+(?=[{_AFTER}{_BLANK}]|$)|[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
 _PLAIN = re.compile("[\t\n\r ]*[!-~\u00c0-\u024f]*")
 #: The split that byte-level vocabularies of this kind are made with.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
