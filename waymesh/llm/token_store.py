@@ -42,28 +42,30 @@ from waymesh.plans.prefix import running_totals
 
 END_ID = 2
 #: Least, mean beyond the least, and most ids of a chunk; ids under the rolling hash.
-LEAST, MEAN, MOST, WINDOW = 128, 256, 2048, 16
+LEAST, MEAN, MOST, WINDOW = 256, 512, 4096, 16
 #: Documents in one batch; hashes of chunks already written that a task remembers.
-BATCH_DOCS, REMEMBERED = 256, 1_000_000
+BATCH_DOCS, REMEMBERED = 256, 200_000
 POLYNOMIAL = 0xEDB88320  # of crc32, lowest power at the highest bit
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of an id stream."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
-    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
-    rolled = np.zeros(n, dtype=np.uint64)
-    for k in range(WINDOW):
-        rolled[k:] += mixed[: n - k] << np.uint64(k)
-    marks = np.flatnonzero((rolled >> np.uint64(8)) % np.uint64(MEAN) == 0) + 1
+def marks(ids: np.ndarray) -> np.ndarray:
+    """Places after which the rolling hash allows a cut. Streams set end to end can be
+    marked at once: no cut is as near to a stream's start as the window is long."""
+    mixed = ((ids.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)) >> np.uint32(4)
+    rolled = np.zeros(len(ids), dtype=np.uint32)
+    for k in range(min(WINDOW, len(ids))):
+        rolled[k:] += mixed[: len(ids) - k] << np.uint32(k)
+    # the high bits have seen the whole window
+    return np.flatnonzero(rolled >> np.uint32(32 - (MEAN.bit_length() - 1)) == 0) + 1
+
+
+def cuts(n: int, marked: np.ndarray) -> list[int]:
+    """Ends of the chunks of a stream of n ids with the given marks."""
     ends, at = [], 0
     while n - at > LEAST:
-        k = int(np.searchsorted(marks, at + LEAST))
-        end = min(int(marks[k]) if k < len(marks) else n, at + MOST, n)
-        ends.append(end)
-        at = end
+        k = int(np.searchsorted(marked, at + LEAST))
+        at = min(int(marked[k]) if k < len(marked) else n, at + MOST, n)
+        ends.append(at)
     if at < n:
         ends.append(n)
     return ends
@@ -79,10 +81,15 @@ def staged(docs: DataFrame, vocabulary: str, width: int, text: str = "text", end
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_DOCS):
                 batch = whole.slice(at, BATCH_DOCS)
-                n, hashes, ends, fresh = [], [], [], []
-                for t in batch.column(1).to_pylist():
-                    ids = np.frombuffer(encode(t) + end, dtype="<u4")
-                    data, places, first, h, f = ids.astype(f"<u{width}").tobytes(), cuts(ids), 0, [], []
+                n, hashes, ends, fresh, from_ = [], [], [], [], 0
+                streams = [encode(t) + end for t in batch.column(1).to_pylist()]
+                together = np.frombuffer(b"".join(streams), dtype="<u4")
+                marked, small = marks(together), together.astype(f"<u{width}")
+                for stream in streams:
+                    ids = small[from_ : (upto := from_ + len(stream) // 4)]
+                    mine = marked[np.searchsorted(marked, from_, side="right") : np.searchsorted(marked, upto, side="right")] - from_
+                    data, places, first, h, f = ids.tobytes(), cuts(len(ids), mine), 0, [], []
+                    from_ = upto
                     for last in places:
                         piece = data[width * first : width * last]
                         h.append(key := hashlib.sha256(piece).digest())
@@ -113,7 +120,7 @@ def staged(docs: DataFrame, vocabulary: str, width: int, text: str = "text", end
 
 def root(hashes: Column) -> Column:
     """sha256 over hashes set end to end."""
-    return F.unhex(F.sha2(F.aggregate(hashes, F.lit(b""), lambda a, x: F.concat(a, x)), 256))
+    return F.unhex(F.sha2(F.unhex(F.array_join(F.transform(hashes, F.hex), "")), 256))
 
 
 def shard_roots(recipes: DataFrame) -> DataFrame:
