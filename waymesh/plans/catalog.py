@@ -1 +1,3 @@
 """Imports every module that registers queries."""
+
+from waymesh.plans import catalog_network, catalog_relational  # noqa: F401
