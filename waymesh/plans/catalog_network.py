@@ -84,10 +84,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("id", r("m.x", 2).alias("x"), r("m.y", 2).alias("y"))
 
 
-@query("l128_elevation_statistics", f"WITH {P_}, {STEPS} SELECT trail_id, round(coalesce(sum(greatest(z - pz, 0)), 0), 4) AS gain, round(coalesce(sum(greatest(pz - z, 0)), 0), 4) AS loss, round(min(z), 4) AS min_z, round(max(z), 4) AS max_z, round(avg(z), 4) AS avg_z FROM seg GROUP BY 1")
+@query("l128_elevation_statistics", f"WITH {P_}, {STEPS} SELECT trail_id, round(coalesce(sum(greatest(z - pz, 0)), 0), 4) AS gain, round(coalesce(sum(greatest(pz - z, 0)), 0), 4) AS loss, round(min(z), 4) AS min_z, round(max(z), 4) AS max_z, round(avg(z), 6) AS avg_z FROM seg GROUP BY 1")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     e = lines3d(spark, sf).select("trail_id", geo.elevation("coords").alias("e"))
-    return e.select("trail_id", *[r(f"e.{c}", 4).alias(c) for c in ("gain", "loss", "min_z", "max_z", "avg_z")])
+    return e.select("trail_id", *[r(f"e.{c}", 6 if c == "avg_z" else 4).alias(c) for c in ("gain", "loss", "min_z", "max_z", "avg_z")])
 
 
 @query("l129_elevation_summary", f"WITH {P_} SELECT count(*) AS n, count(*) FILTER (z > 2000) AS high, count(*) FILTER (z IS NULL) AS missing, round(avg(z), 4) AS avg_z FROM trail_points")
@@ -276,11 +276,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return graph.degree2_chains(edges(spark, sf, 25)).select("chain_id", "n_edges", r("length_km").alias("length_km"), r("elevation_gain", 4).alias("elevation_gain"))
 
 
-@query("net14_coincident_vertices", f"""WITH RECURSIVE {E_}, {N_}, near AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} <= 2200), reach AS (SELECT a, b FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a), low AS (SELECT a AS node, min(b) AS c FROM reach GROUP BY 1)
+@query("net14_coincident_vertices", f"""WITH RECURSIVE {E_}, {N_}, near AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} <= 970), reach AS (SELECT a, b FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a), low AS (SELECT a AS node, min(b) AS c FROM reach GROUP BY 1)
     SELECT e.id, s.c AS source, t.c AS target FROM edges e JOIN low s ON s.node = e.source JOIN low t ON t.node = e.target WHERE s.c <> t.c AND e.trail_id < 200""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     n = nodes(spark, sf)
-    near = spatial.within_distance(n.select(F.col("id").alias("source"), F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("target"), F.col("lng").alias("x2"), F.col("lat").alias("y2")), 2200)
+    near = spatial.within_distance(n.select(F.col("id").alias("source"), F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("target"), F.col("lng").alias("x2"), F.col("lat").alias("y2")), 970)
     return graph.merge_vertices(near.select("source", "target"), edges(spark, sf, 200)).select("id", "source", "target")
 
 
@@ -417,7 +417,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("rt11_route_score", f"""WITH {ROUTES}, s AS (SELECT route_id, 0.37 * 100 + 15 * greatest(0.0::DOUBLE, 1 - abs(km - 10.0) / 10.0) + 15 * greatest(0.0::DOUBLE, 1 - abs(gain - 300.0) / 300.0) + least(n_trails / 2.0::DOUBLE, 1.0) * 15 + CASE WHEN n_trails >= 3 THEN 5 ELSE 0 END + greatest(0.0::DOUBLE, 15 - abs(km - 10.0)) + greatest(0.0::DOUBLE, 10 - abs(gain - 300.0) / 30.0)
-    + CASE WHEN km >= 20 THEN 15 WHEN km >= 15 THEN 12 WHEN km >= 10 THEN 8 WHEN km >= 5 THEN 3 ELSE 0 END + CASE WHEN gain >= 800 THEN 8 WHEN gain >= 500 THEN 5 WHEN gain >= 200 THEN 2 ELSE 0 END - CASE WHEN km < 2 THEN 10 WHEN km < 3 THEN 5 ELSE 0 END AS v FROM rts WHERE route_id % 7 = 3) SELECT route_id, greatest(0.0::DOUBLE, least(100.0::DOUBLE, round(round(v, 4)))) AS score FROM s""")
+    + CASE WHEN km >= 20 THEN 15 WHEN km >= 15 THEN 12 WHEN km >= 10 THEN 8 WHEN km >= 5 THEN 3 ELSE 0 END + CASE WHEN gain >= 800 THEN 8 WHEN gain >= 500 THEN 5 WHEN gain >= 200 THEN 2 ELSE 0 END - CASE WHEN km < 2 THEN 10 WHEN km < 3 THEN 5 ELSE 0 END AS v FROM (SELECT route_id, n_trails, round(km, 9) AS km, round(gain, 9) AS gain FROM rts) WHERE route_id % 7 = 3) SELECT route_id, greatest(0.0::DOUBLE, least(100.0::DOUBLE, round(round(v, 4)))) AS score FROM s""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     some = _routes(spark, sf).where("route_id % 7 = 3").withColumns({"km": F.round("km", 9), "gain": F.round("gain", 9)})
     return some.select("route_id", scoring.route_score(F.col("km"), F.col("gain"), F.col("n_trails"), 10.0, 300.0, 0.37).alias("score"))

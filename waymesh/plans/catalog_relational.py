@@ -49,7 +49,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return keep_latest(t.where("difficulty = 'O'").drop("difficulty"), t.where("difficulty = 'F'").drop("difficulty"), ["key"], "trail_id")
 
 
-TRI = "list_distinct(list_transform(range(1, length({0}) + 4), i -> substr('  ' || lower({0}) || '  ', i::BIGINT, 3)))"
+TRI = "list_distinct(list_transform(range(1, length({0}) + 4), lambda i: substr('  ' || lower({0}) || '  ', i::BIGINT, 3)))"
 
 
 @query("src11_cross_source_overlap", f"""WITH p AS (SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey < 300), pairs AS (
