@@ -169,7 +169,7 @@ def _centres(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("trail_id", F.concat(F.lit("Trail "), (F.col("trail_id") % 40).cast("string")).alias("name"), "length_km", "c.x", "c.y")
 
 
-@query("l124_merge_pairs", f"""WITH {CENTRES}, p AS (SELECT a.trail_id AS id1, b.trail_id AS id2, 1 - levenshtein(lower(a.name), lower(b.name)) / greatest(length(a.name), length(b.name))::DOUBLE AS ns, least(a.length_km, b.length_km) / greatest(a.length_km, b.length_km) AS ls, {hav('a.x', 'a.y', 'b.x', 'b.y')} AS m FROM t a JOIN t b ON a.trail_id < b.trail_id)
+@query("l124_merge_pairs", f"""WITH {CENTRES}, p AS (SELECT a.trail_id AS id1, b.trail_id AS id2, 1 - levenshtein(lower(a.name), lower(b.name)) / greatest(length(a.name), length(b.name))::DOUBLE AS ns, least(a.length_km, b.length_km) / nullif(greatest(a.length_km, b.length_km), 0) AS ls, {hav('a.x', 'a.y', 'b.x', 'b.y')} AS m FROM t a JOIN t b ON a.trail_id < b.trail_id)
     SELECT id1, id2, round(ns, 6) AS name_similarity, round(ls, 6) AS length_similarity, round(m, 3) AS metres FROM p WHERE m <= 900 AND ns >= 0.7 AND ls >= 0.8""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     p = lines.merge_pairs(_centres(spark, sf), 900)
@@ -356,8 +356,8 @@ SEARCH = WALKS.format(hops=6, km="8.0 * 1.2", gain="200.0 * 1.2")
 
 @query("rt01_bounded_path_search", f"""WITH RECURSIVE {E_}, {FEW.format(n=22)}, {SEARCH} SELECT start, last AS "end", array_to_string(used, ',') AS edge_list, round(km, 6) AS total_km, round(gain, 4) AS total_gain, hops,
     CASE WHEN closed THEN 'loop' ELSE 'point-to-point' END AS shape, round(greatest(0.0::DOUBLE, 1 - (abs(km - 8.0) / 8.0 + abs(gain - 200.0) / 200.0) / 2), 6) AS similarity FROM walk WHERE hops > 0 AND km BETWEEN 8.0 * 0.8 AND 8.0 * 1.2 AND gain BETWEEN 200.0 * 0.8 AND 200.0 * 1.2""")
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = _small(spark, sf, 22)
+def rt01(spark: SparkSession, sf: str, below: int = 22) -> DataFrame:
+    e = _small(spark, sf, below)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     found = routes.search(e, starts, 8.0, 200.0, 20.0, 6)
     return found.select("start", "end", F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",").alias("edge_list"), r("total_km").alias("total_km"), r("total_gain", 4).alias("total_gain"), "hops", "shape", r("similarity").alias("similarity"))

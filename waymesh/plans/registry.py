@@ -38,5 +38,9 @@ def oracle_sql() -> dict[str, str]:
     return _sql
 
 
-def flagship() -> Query:
-    return queries()["rt01_bounded_path_search"]
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded path search over the edges of a few orders: the smallest table has few
+    nodes with many edges each."""
+    from waymesh.plans.catalog_network import rt01
+
+    return rt01(spark, sf_dir, below=8)
