@@ -1,0 +1,34 @@
+"""The pipeline against its stages' own rules, on the small tables."""
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from waymesh.plans.durable import written
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "toxicity", "near_duplicates", "secrets", "packing"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = written(stage(spark, before, SF), "test")
+        assert after.columns == docs.columns
+        assert after.select("doc_id").subtract(before.select("doc_id")).count() == 0
+        assert after.count() == after.select("doc_id").distinct().count()
+        if name != "secrets":
+            assert after.exceptAll(before).count() == 0
+        else:
+            assert after.count() == before.count()
+        before = after
+    made = corpus_pipeline.run(spark, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in before.collect()}
+    assert {r["doc_id"] for r in made} == set(texts)
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    for d in list(texts)[:40]:
+        pieces = sorted((r["start"], bytes(r["ids"])) for r in made if r["doc_id"] == d)
+        assert np.frombuffer(b"".join(p for _, p in pieces), dtype="<u4").tolist() == [*plain.encode(texts[d], add_special_tokens=False).ids, 0]

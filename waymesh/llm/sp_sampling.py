@@ -45,6 +45,10 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 CHUNK = re.compile(" *[^ ]+| +")
+#: The same, but a chunk that starts with ASCII letters ends with them before other ASCII characters.
+FINE_CHUNK = re.compile(r" *[A-Za-z]+(?=[\x00-@\[-`{-\x7f])| *[^ ]+| +")
+#: Longer chunks are taken one at a time.
+SHORT = 64
 #: Texts that take steps together; lattice edges that are kept at hand.
 BATCH_DOCS, BATCH_CHARS, KEPT_EDGES = 256, 2_000_000, 3_000_000
 BYTE_LOG = -14.0
@@ -62,6 +66,12 @@ def uniform(seed: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
+def rolled(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of strings with one more character."""
+    x = (hashes ^ (codes.astype(np.uint64) + np.uint64(1)) * _MIX[3]) * _MIX[0]
+    return x ^ (x >> np.uint64(31))
+
+
 class Vocabulary:
     """Pieces of a SentencePiece model and their log-probabilities."""
 
@@ -82,6 +92,33 @@ class Vocabulary:
                 self.bytes[k] = plain.encode()
                 rank += 1
         self.longest = max(map(len, self.log), default=1)
+        self.tables = self._tables()
+        # pieces that run from a Latin letter on to another ASCII character would join chunks
+        self.joins = any(re.search("[A-Za-z][\\x00-@\\[-`{-\\x7f]", x) for x in self.log)
+
+    def _tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By length: hashes, ascending, of the pieces and the beginnings of pieces; the piece's
+        number or -1; its log-probability; whether a longer piece begins so."""
+        found: list[dict[str, tuple[int, float]]] = [{} for _ in range(self.longest)]
+        longer: set[str] = set()
+        for text, (k, x) in self.log.items():
+            found[len(text) - 1][text] = (k, x)
+            for n in range(1, len(text)):
+                longer.add(text[:n])
+        for text in longer:
+            found[len(text) - 1].setdefault(text, (-1, 0.0))
+        tables = []
+        for n, strings in enumerate(found, 1):
+            codes = np.frombuffer("".join(strings).encode("utf-32-le"), dtype=np.uint32).reshape(-1, n)
+            hashes = np.zeros(len(codes), dtype=np.uint64)
+            for k in range(n):
+                hashes = rolled(hashes, codes[:, k])
+            order = np.argsort(hashes)
+            assert len(np.unique(hashes)) == len(hashes), "two pieces have one hash"
+            values = list(strings.items())
+            pick = lambda f: np.array([f(values[i]) for i in order])
+            tables.append((hashes[order], pick(lambda v: v[1][0]).astype(np.int64), pick(lambda v: v[1][1]).astype(np.float64), pick(lambda v: v[0] in longer).astype(bool)))
+        return tables
 
     def decode(self, ids: np.ndarray) -> bytes:
         made = b"".join(map(self.bytes.__getitem__, ids.tolist()))
@@ -109,11 +146,67 @@ class Lattices:
         self.first: dict[str, int] = {}
         self.start, self.upto, self.log, self.symbol, self.next = array("q"), array("d"), array("d"), array("q"), array("q")
 
-    def row(self, chunk: str) -> int:
-        """The row of the chunk's first position."""
-        found = self.first.get(chunk)
-        if found is not None:
-            return found
+    def add(self, chunks: list[str]) -> None:
+        """Rows for chunks not met before: all short ones together, a length at a time
+        forwards and a distance from the end at a time backwards."""
+        short = [c for c in chunks if len(c) <= SHORT]
+        for c in chunks:
+            if len(c) > SHORT:
+                self.add_long(c)
+        if not short:
+            return
+        v, base, offset = self.vocabulary, len(self.start), len(self.upto)
+        codes = np.frombuffer("".join(short).encode("utf-32-le"), dtype=np.uint32)
+        sizes = np.array([len(c) for c in short])
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        at, hashes = np.arange(len(codes)), np.zeros(len(codes), dtype=np.uint64)
+        parts = []
+        for n, (known, piece, log, more) in enumerate(v.tables, 1):
+            inside = at + n <= ends[at]
+            at, hashes = at[inside], hashes[inside]
+            if not len(at) or not len(known):
+                break
+            hashes = rolled(hashes, codes[at + n - 1])
+            k = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            same = known[k] == hashes
+            is_piece = same & (piece[k] >= 0)
+            parts.append((at[is_piece], at[is_piece] + n, piece[k[is_piece]], log[k[is_piece]]))
+            if n == 1:
+                lone = at[~is_piece]
+                parts.append((lone, lone + 1, v.size + codes[lone].astype(np.int64), np.full(len(lone), BYTE_LOG)))
+            on = same & more[k]
+            at, hashes = at[on], hashes[on]
+        source, target, symbol, log = (np.concatenate([p[c] for p in parts]) for c in range(4))
+        order = np.lexsort((target, source))
+        source, target, symbol, log = source[order], target[order], symbol[order], log[order]
+        last = target == ends[source]
+        ending, value = np.zeros(len(codes)), np.zeros(len(source))
+        left = (ends - np.arange(len(codes)))[source]  # distance from the end
+        by = np.argsort(left, kind="stable")
+        bounds = np.searchsorted(left[by], np.arange(1, int(left.max()) + 2))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            e = by[a:b]
+            x = log[e] + np.where(last[e], 0.0, ending[np.minimum(target[e], len(codes) - 1)])
+            heads = np.flatnonzero(np.concatenate(([True], source[e[1:]] != source[e[:-1]])))
+            most = np.maximum.reduceat(x, heads)
+            counts = np.diff(np.append(heads, len(e)))
+            total = most + np.log(np.add.reduceat(np.exp(x - np.repeat(most, counts)), heads))
+            ending[source[e[heads]]] = total
+            value[e] = np.where(np.repeat(counts, counts) == 1, 0.0, x - np.repeat(total, counts))
+        heads = np.searchsorted(source, np.arange(len(codes)))
+        summed = np.cumsum(np.exp(value))
+        upto = base + source + summed - np.where(heads > 0, summed[heads - 1], 0.0)[source]
+        upto[np.append(heads[1:], len(source)) - 1] = base + np.arange(len(codes)) + 1.0
+        self.start.frombytes((offset + heads).astype(np.int64).tobytes())
+        self.upto.frombytes(upto.tobytes())
+        self.log.frombytes(value.tobytes())
+        self.symbol.frombytes(symbol.astype(np.int64).tobytes())
+        self.next.frombytes(np.where(last, -1, base + target).astype(np.int64).tobytes())
+        firsts = (base + np.cumsum(sizes) - sizes).tolist()
+        self.first.update(zip(short, firsts, strict=True))
+
+    def add_long(self, chunk: str) -> int:
+        """The same for one chunk of any length, a position at a time."""
         v, n = self.vocabulary, len(chunk)
         known, longest, base = v.log.get, v.longest, len(self.start)
         edges: list[list[tuple[int, float, int]]] = [[] for _ in range(n)]
@@ -152,11 +245,14 @@ class Sampler:
         """Per text up to k of (ids, log_prob, perturbed, inclusion), best first."""
         if len(self.lattices.upto) > KEPT_EDGES:
             self.lattices.clear()
-        row, rows, sizes = self.lattices.row, [], []
+        split, chunks, sizes = (CHUNK if self.vocabulary.joins else FINE_CHUNK).findall, [], []
         for t in texts:
-            found = CHUNK.findall(" " + t) if t else []
-            rows += [row(c) for c in found]
+            found = split(" " + t) if t else []
+            chunks += found
             sizes.append(len(found))
+        first = self.lattices.first
+        self.lattices.add([c for c in dict.fromkeys(chunks) if c not in first])
+        rows = [first[c] for c in chunks]
         n, counts = len(texts), np.array(sizes, dtype=np.int64)
         table = _Table(self.lattices)
         doc = np.repeat(np.arange(n), counts)
