@@ -128,6 +128,9 @@ class Vocabulary:
         """Ids of lattice symbols: pieces as they are, characters as their bytes."""
         if not len(symbol) or symbol.max() < self.size:
             return symbol.astype("<u4")
+        plain = symbol < self.size
+        if symbol[~plain].max() < self.size + 128:  # ASCII: one byte each
+            return np.where(plain, symbol, np.array(self.byte_id)[np.where(plain, 0, symbol - self.size)]).astype("<u4")
         out: list[int] = []
         for s in symbol.tolist():
             out += [s] if s < self.size else [self.byte_id[b] for b in chr(s - self.size).encode("utf-8", "replace")]
@@ -379,7 +382,7 @@ class _Table:
         """Decisions (occurrence, step, edge) from the given states to the ends of the chunks."""
         found = []
         while len(at):
-            edge = np.searchsorted(self.upto, state + draw(at, step), side="right")
+            edge = self.drawn(state, draw(at, step))
             found.append((at, step, edge))
             state = self.next[edge]
             on = state >= 0
@@ -390,6 +393,14 @@ class _Table:
         order = np.lexsort((flat[1], flat[0]))
         return tuple(x[order] for x in flat)
 
+    def drawn(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each row that a number in (0, 1) falls on; rows are short, so from their
+        first edge on."""
+        edge, wanted, open_ = self.start[state], state + u, np.arange(len(state))
+        while len(open_ := open_[self.upto[edge[open_]] <= wanted[open_]]):
+            edge[open_] += 1
+        return edge
+
     def edges(self, edge: int) -> range:
         """All edges of the row of one of them."""
         row = int(np.searchsorted(self.start, edge, side="right")) - 1
