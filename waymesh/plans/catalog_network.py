@@ -463,8 +463,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("rt17_parametric_metrics", f"""WITH {ROUTES} SELECT route_id, round(gain / km, 6) AS rate, CASE WHEN gain / km < 50 THEN 'easy' WHEN gain / km < 100 THEN 'moderate' WHEN gain / km < 150 THEN 'hard' ELSE 'expert' END AS difficulty, round(greatest(0.5::DOUBLE, least(24.0::DOUBLE, km / (4.0::DOUBLE * CASE WHEN gain / km < 50 THEN 1.0::DOUBLE WHEN gain / km < 100 THEN 0.8 WHEN gain / km < 150 THEN 0.6 ELSE 0.4 END))), 6) AS hours,
     round(km / CASE WHEN gain / km < 50 THEN 4.0::DOUBLE WHEN gain / km < 100 THEN 3.0 WHEN gain / km < 150 THEN 2.5 ELSE 2.0 END, 6) AS hours2, round(least(1.0::DOUBLE, n_trails / km / 5), 6) AS connectivity FROM rts""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    km, rate = F.col("km"), F.col("gain") / F.col("km")
-    return _routes(spark, sf).select("route_id", r(rate).alias("rate"), scoring.difficulty(rate).alias("difficulty"), r(scoring.hours_by_factor(km, rate)).alias("hours"), r(scoring.hours_by_speed(km, rate)).alias("hours2"), r(scoring.connectivity(F.col("n_trails"), km)).alias("connectivity"))
+    km, rate = F.col("km"), F.col("rate")
+    return _routes(spark, sf).withColumn("rate", F.col("gain") / F.col("km")).select("route_id", r(rate).alias("rate"), scoring.difficulty(rate).alias("difficulty"), r(scoring.hours_by_factor(km, rate)).alias("hours"), r(scoring.hours_by_speed(km, rate)).alias("hours2"), r(scoring.connectivity(F.col("n_trails"), km)).alias("connectivity"))
 
 
 @query("rt18_shortest_paths", f"""WITH RECURSIVE {E_}, {FEW.format(n=22)}, w AS (SELECT source AS src, target AS dst, length_km AS km FROM few UNION ALL SELECT target, source, length_km FROM few), walk AS (SELECT src AS start, src AS node, [src] AS path, 0.0::DOUBLE AS km FROM (SELECT DISTINCT src FROM w WHERE src % 5 = 0)
