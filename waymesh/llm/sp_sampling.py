@@ -30,6 +30,7 @@ the same samples. Extra columns are ignored. Texts are read whole.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 import re
@@ -50,7 +51,7 @@ FINE_CHUNK = re.compile(r" *[A-Za-z]+(?=[\x00-@\[-`{-\x7f])| *[^ ]+| +")
 #: Longer chunks are taken one at a time.
 SHORT = 64
 #: Texts that take steps together; lattice edges that are kept at hand.
-BATCH_DOCS, BATCH_CHARS, KEPT_EDGES = 256, 2_000_000, 3_000_000
+BATCH_DOCS, BATCH_CHARS, KEPT_EDGES = 256, 2_000_000, 5_000_000
 BYTE_LOG = -14.0
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -437,6 +438,7 @@ def sample_segmentations(df: DataFrame, model: str, k: int = 2, key: str = "doc_
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawer = sampler(model, k, sharpness)
+        gc.disable()  # millions of small objects and no cycles
         for whole in batches:
             texts, names = whole.column(1).to_pylist(), whole.column(2).to_pylist()
             at = 0
@@ -461,6 +463,7 @@ def sample_segmentations(df: DataFrame, model: str, k: int = 2, key: str = "doc_
                     names=[key, "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "round_trip"],
                 )
                 at = upto
+        gc.enable()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, F.col(text).alias("t"), F.col(key).cast("string").alias("k")).mapInArrow(rows, f"`{key}` {kind}, sample int, ids binary, n_pieces long, log_prob double, perturbed double, inclusion double, round_trip boolean")
