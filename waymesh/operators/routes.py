@@ -140,7 +140,7 @@ def ksp(edges: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     in the task that holds its component; components are spread over tasks."""
     labels = graph.components(edges)
     placed = edges.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "length_km")
-    asked = pairs.join(labels.withColumnRenamed("node", "start"), "start").select("component", "start", "goal")
+    asked = pairs.join(labels.withColumnRenamed("node", "start"), "start").select(F.col("component").alias("part"), "start", "goal")
 
     def solve(network: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         ways, out = _adjacency(network), []
@@ -149,7 +149,7 @@ def ksp(edges: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
                 out.append((int(s), int(g), n + 1, path, used, cost))
         return pd.DataFrame(out, columns=["start", "goal", "path_id", "path", "edge_ids", "cost"])
 
-    return placed.groupBy("component").cogroup(asked.groupBy("component")).applyInPandas(solve, "start long, goal long, path_id int, path array<long>, edge_ids array<long>, cost double")
+    return placed.groupBy("component").cogroup(asked.groupBy("part")).applyInPandas(solve, "start long, goal long, path_id int, path array<long>, edge_ids array<long>, cost double")
 
 
 def lollipops(edges: DataFrame, target_km: float, anchors: int = 20, k: int = 3) -> DataFrame:
