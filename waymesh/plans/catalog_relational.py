@@ -33,8 +33,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return in_box(nodes(spark, sf), expand_box(BOX, 0.01), "lng", "lat").select("id", "lng", "lat")
 
 
-@query("src09_unit_adaptation", f"""WITH {T_} SELECT trail_id, round(price / 1000 * 1.60934, 6) AS length_km, coalesce(nullif(surface, '1-URGENT'), 'unknown') AS surface, 'cotrex' AS source FROM trails t
-    WHERE NOT EXISTS (SELECT 1 FROM trails o WHERE lower(o.name) = lower(t.name) AND o.trail_id < t.trail_id)""".replace("'cotrex'", "'import'"))
+@query("src09_unit_adaptation", f"""WITH {T_} SELECT trail_id, round(price / 1000 * 1.60934, 6) AS length_km, coalesce(nullif(surface, '1-URGENT'), 'unknown') AS surface, 'import' AS source FROM trails t
+    WHERE NOT EXISTS (SELECT 1 FROM trails o WHERE lower(o.name) = lower(t.name) AND o.trail_id < t.trail_id)""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     t = trails(spark, sf)
     first = t.groupBy(F.lower("name").alias("n")).agg(F.min("trail_id").alias("trail_id"))
