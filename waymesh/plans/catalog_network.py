@@ -257,7 +257,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("net11_bypass_candidates", f"""WITH {E_}, {N_}, few AS (SELECT * FROM edges WHERE trail_id < 100 AND source <> target), g AS (SELECT e.id, n.id AS node, s.lng AS ax, s.lat AS ay, t.lng AS bx, t.lat AS by_, n.lng AS qx, n.lat AS qy, cos(radians(n.lat)) AS k FROM few e JOIN nodes s ON s.id = e.source JOIN nodes t ON t.id = e.target JOIN nodes n ON n.id <> e.source AND n.id <> e.target),
     t AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((qx - ax) * k * (bx - ax) * k + (qy - ay) * (by_ - ay)) / (pow((bx - ax) * k, 2) + pow(by_ - ay, 2)))) AS t FROM g) SELECT id, count(*) AS passed FROM t WHERE {hav('qx', 'qy', '(ax + t * (bx - ax))', '(ay + t * (by_ - ay))')} <= 300 GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.bypass_candidates(nodes(spark, sf), edges(spark, sf, 100), 300.0).groupBy("id").agg(F.count("*").alias("passed"))
+    return validation.bypass_candidates(nodes(spark, sf), edges(spark, sf), 300.0).groupBy("id").agg(F.count("*").alias("passed"))
 
 
 FEW = "few AS (SELECT * FROM edges WHERE trail_id < {n} AND source <> target)"
@@ -266,14 +266,14 @@ COMPONENTS = """u AS (SELECT source AS a, target AS b FROM few UNION SELECT targ
 
 @query("net18_components", f"WITH RECURSIVE {E_}, {FEW.format(n=20)}, {COMPONENTS} SELECT node, component FROM comp")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.components(graph.without_loops(edges(spark, sf, 20)))
+    return graph.components(graph.without_loops(edges(spark, sf)))
 
 
 @query("net12_degree2_chains", f"""WITH RECURSIVE {E_}, {FEW.format(n=25)}, inc AS (SELECT source AS node, id FROM few UNION SELECT target, id FROM few), two AS (SELECT node, min(id) AS a, max(id) AS b FROM inc GROUP BY 1 HAVING count(DISTINCT id) = 2),
     u AS (SELECT a, b FROM two UNION SELECT b, a FROM two), reach AS (SELECT a, b FROM u UNION SELECT reach.a, u.b FROM reach JOIN u ON reach.b = u.a), comp AS (SELECT a AS id, least(a, min(b)) AS chain FROM reach GROUP BY 1)
     SELECT coalesce(chain, few.id) AS chain_id, count(*) AS n_edges, round(sum(length_km), 6) AS length_km, round(sum(elevation_gain), 4) AS elevation_gain FROM few LEFT JOIN comp ON comp.id = few.id GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.degree2_chains(edges(spark, sf, 25)).select("chain_id", "n_edges", r("length_km").alias("length_km"), r("elevation_gain", 4).alias("elevation_gain"))
+    return graph.degree2_chains(edges(spark, sf)).select("chain_id", "n_edges", r("length_km").alias("length_km"), r("elevation_gain", 4).alias("elevation_gain"))
 
 
 @query("net14_coincident_vertices", f"""WITH RECURSIVE {E_}, {N_}, near AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} <= 970), reach AS (SELECT a, b FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a), low AS (SELECT a AS node, min(b) AS c FROM reach GROUP BY 1)
@@ -281,52 +281,52 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     n = nodes(spark, sf)
     near = spatial.within_distance(n.select(F.col("id").alias("source"), F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("target"), F.col("lng").alias("x2"), F.col("lat").alias("y2")), 970)
-    return graph.merge_vertices(near.select("source", "target"), edges(spark, sf, 200)).select("id", "source", "target")
+    return graph.merge_vertices(near.select("source", "target"), edges(spark, sf)).select("id", "source", "target")
 
 
 @query("net16_gap_detection", f"""WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 30), {N_}, deg AS (SELECT node, count(DISTINCT id) AS degree FROM (SELECT source AS node, id FROM few UNION ALL SELECT target, id FROM few) GROUP BY 1), k AS (SELECT n.*, degree FROM nodes n JOIN deg ON node = n.id)
     SELECT a.id AS "end", b.id AS other, round({hav('a.lng', 'a.lat', 'b.lng', 'b.lat')}, 3) AS metres FROM k a JOIN k b ON a.degree = 1 AND b.degree >= 2 WHERE {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} <= 5000 AND NOT EXISTS (SELECT 1 FROM few WHERE (source = a.id AND target = b.id) OR (source = b.id AND target = a.id))""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.gaps(nodes(spark, sf), edges(spark, sf, 30), 5000).select("end", "other", r("metres", 3).alias("metres"))
+    return graph.gaps(nodes(spark, sf), edges(spark, sf), 5000).select("end", "other", r("metres", 3).alias("metres"))
 
 
 @query("net17_short_connectors", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 30), deg AS (SELECT node, count(DISTINCT id) AS degree FROM (SELECT source AS node, id FROM few UNION ALL SELECT target, id FROM few) GROUP BY 1) SELECT f.id FROM few f JOIN deg s ON s.node = source JOIN deg t ON t.node = target WHERE length_km < 1.5 AND (s.degree = 1 OR t.degree = 1)")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.short_connectors(edges(spark, sf, 30), 1.5).select("id")
+    return validation.short_connectors(edges(spark, sf), 1.5).select("id")
 
 
 @query("net21_orphans_and_loops", f"""WITH {E_}, {N_} SELECT (SELECT count(*) FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.trail_id < 10 AND (e.source = n.id OR e.target = n.id))) AS orphan_nodes, (SELECT count(*) FROM edges e WHERE NOT EXISTS (SELECT 1 FROM nodes n WHERE n.id = e.target AND n.id < 90)) AS orphan_edges, (SELECT count(*) FROM edges WHERE source = target) AS self_loops""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     n, e = nodes(spark, sf), edges(spark, sf)
-    few = n.where("id < 90").select(F.col("id").alias("target"))
-    one = graph.orphan_nodes(n, edges(spark, sf, 10)).agg(F.count("*").alias("orphan_nodes"))
-    two = e.join(few, "target", "left_anti").agg(F.count("*").alias("orphan_edges"))
+    known = n.select(F.col("id").alias("target"))
+    one = graph.orphan_nodes(n, e).agg(F.count("*").alias("orphan_nodes"))
+    two = e.join(known, "target", "left_anti").agg(F.count("*").alias("orphan_edges"))
     return one.crossJoin(two).crossJoin(e.agg(F.count_if(F.col("source") == F.col("target")).alias("self_loops")))
 
 
 @query("net22_degree_zero", f"WITH {E_}, {N_} SELECT n.id, round(min({hav('n.lng', 'n.lat', 'o.lng', 'o.lat')}), 3) AS metres FROM nodes n JOIN nodes o ON o.id <> n.id WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.trail_id < 10 AND (e.source = n.id OR e.target = n.id)) AND {hav('n.lng', 'n.lat', 'o.lng', 'o.lat')} <= 6000 GROUP BY 1")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     n = nodes(spark, sf)
-    lone = graph.orphan_nodes(n, edges(spark, sf, 10)).select("id", F.col("lng").alias("x"), F.col("lat").alias("y"))
+    lone = graph.orphan_nodes(n, edges(spark, sf)).select("id", F.col("lng").alias("x"), F.col("lat").alias("y"))
     near = spatial.within_distance(lone, n.select(F.col("id").alias("other"), F.col("lng").alias("x2"), F.col("lat").alias("y2")), 6000).where("id <> other")
     return near.groupBy("id").agg(r(F.min("metres"), 3).alias("metres"))
 
 
 @query("net23_connectivity_metrics", f"WITH RECURSIVE {E_}, {FEW.format(n=20)}, {COMPONENTS} SELECT count(DISTINCT component) AS components, count(*) AS nodes, max(n) AS largest, round(max(n) * 100.0::DOUBLE / count(*), 4) AS largest_pct FROM (SELECT *, count(*) OVER (PARTITION BY component) AS n FROM comp)")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.connectivity(graph.without_loops(edges(spark, sf, 20)))
+    return validation.connectivity(graph.without_loops(edges(spark, sf)))
 
 
 @query("net27_composition_lineage", f"""WITH {E_}, c AS (SELECT source AS edge_id, trail_id, sum(length_km) AS km FROM edges WHERE trail_id < 500 GROUP BY 1, 2) SELECT edge_id, trail_id, row_number() OVER (PARTITION BY edge_id ORDER BY trail_id) AS seq, round(km * 100 / sum(km) OVER (PARTITION BY edge_id), 4) AS pct FROM c""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.composition(edges(spark, sf, 500), "source", "trail_id")
+    return validation.composition(edges(spark, sf), "source", "trail_id")
 
 
 @query("net28_virtual_connections", f"""WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 60), {N_}, o AS (SELECT source AS node FROM few), i AS (SELECT target AS node FROM few), dead AS (SELECT DISTINCT node FROM (SELECT node FROM o UNION SELECT node FROM i) WHERE node NOT IN (SELECT node FROM o) OR node NOT IN (SELECT node FROM i)),
     d AS (SELECT a.id, b.id AS other, {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} AS m FROM nodes a JOIN dead ON dead.node = a.id JOIN nodes b ON b.id <> a.id) SELECT id, arg_min(other, {{m: m, id: other}}) AS other FROM d WHERE m <= 6000 GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     n = nodes(spark, sf)
-    dead = graph.dead_ends(edges(spark, sf, 60)).select(F.col("node").alias("id"))
+    dead = graph.dead_ends(edges(spark, sf)).select(F.col("node").alias("id"))
     near = spatial.within_distance(n.join(dead, "id").select("id", F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("other"), F.col("lng").alias("x2"), F.col("lat").alias("y2")), 6000).where("id <> other")
     return near.groupBy("id").agg(F.min(F.struct("metres", "other")).alias("m")).select("id", "m.other")
 
@@ -338,12 +338,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("net20_bridges_articulations")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.bridges(graph.without_loops(edges(spark, sf, 25)))
+    return routes.bridges(graph.without_loops(edges(spark, sf)))
 
 
 # ---- routes
 
-def _small(spark: SparkSession, sf: str, below: int) -> DataFrame:
+def _small(spark: SparkSession, sf: str, below: int | None = None) -> DataFrame:
     return graph.without_loops(edges(spark, sf, below))
 
 
@@ -356,7 +356,7 @@ SEARCH = WALKS.format(hops=6, km="8.0 * 1.2", gain="200.0 * 1.2")
 
 @query("rt01_bounded_path_search", f"""WITH RECURSIVE {E_}, {FEW.format(n=22)}, {SEARCH} SELECT start, last AS "end", array_to_string(used, ',') AS edge_list, round(km, 6) AS total_km, round(gain, 4) AS total_gain, hops,
     CASE WHEN closed THEN 'loop' ELSE 'point-to-point' END AS shape, round(greatest(0.0::DOUBLE, 1 - (abs(km - 8.0) / 8.0 + abs(gain - 200.0) / 200.0) / 2), 6) AS similarity FROM walk WHERE hops > 0 AND km BETWEEN 8.0 * 0.8 AND 8.0 * 1.2 AND gain BETWEEN 200.0 * 0.8 AND 200.0 * 1.2""")
-def rt01(spark: SparkSession, sf: str, below: int = 22) -> DataFrame:
+def rt01(spark: SparkSession, sf: str, below: int | None = None) -> DataFrame:
     e = _small(spark, sf, below)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     found = routes.search(e, starts, 8.0, 200.0, 20.0, 6)
@@ -365,17 +365,17 @@ def rt01(spark: SparkSession, sf: str, below: int = 22) -> DataFrame:
 
 @query("rt03_two_edge_out_and_back", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 1500) SELECT a.id AS id1, b.id AS id2, round(a.length_km + b.length_km, 6) AS km FROM few a JOIN few b ON a.target = b.source AND b.target = a.source AND a.id <> b.id AND a.source <> a.target")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.two_edge_paths(edges(spark, sf, 1500), True).select("id1", "id2", r("km").alias("km"))
+    return routes.two_edge_paths(edges(spark, sf), True).select("id1", "id2", r("km").alias("km"))
 
 
 @query("rt04_two_edge_paths", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 300) SELECT a.id AS id1, b.id AS id2, round(a.elevation_gain + b.elevation_gain, 4) AS gain FROM few a JOIN few b ON a.target = b.source AND a.id <> b.id AND a.source <> a.target AND b.source <> b.target AND a.source <> b.target")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.two_edge_paths(edges(spark, sf, 300), False).select("id1", "id2", r("gain", 4).alias("gain"))
+    return routes.two_edge_paths(edges(spark, sf), False).select("id1", "id2", r("gain", 4).alias("gain"))
 
 
 @query("rt06_criteria_by_shape", f"WITH RECURSIVE {E_}, {FEW.format(n=22)}, {WALKS.format(hops=5, km='10.0', gain='400.0')} SELECT start, array_to_string(used, ',') AS edge_list, round(km, 6) AS total_km FROM walk WHERE closed")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = _small(spark, sf, 22)
+    e = _small(spark, sf)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     found = graph.bounded_paths(e, starts, 10.0, 400.0, 5).where("closed")
     return found.select("start", F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",").alias("edge_list"), r("total_km").alias("total_km"))
@@ -470,7 +470,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("rt18_shortest_paths", f"""WITH RECURSIVE {E_}, {FEW.format(n=22)}, w AS (SELECT source AS src, target AS dst, length_km AS km FROM few UNION ALL SELECT target, source, length_km FROM few), walk AS (SELECT src AS start, src AS node, [src] AS path, 0.0::DOUBLE AS km FROM (SELECT DISTINCT src FROM w WHERE src % 5 = 0)
     UNION ALL SELECT start, dst, list_append(path, dst), walk.km + w.km FROM walk JOIN w ON w.src = walk.node WHERE walk.km + w.km <= 6.0 AND NOT list_contains(path, dst)) SELECT start, node, round(min(km), 6) AS cost FROM walk GROUP BY 1, 2""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = _small(spark, sf, 22)
+    e = _small(spark, sf)
     starts = graph.incident(e).where("node % 5 = 0").select(F.col("node").alias("id")).distinct()
     return graph.shortest_paths(e, starts, cutoff=6.0).select("start", "node", r("cost").alias("cost"))
 
@@ -478,7 +478,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("rt21_reachable_nodes", f"""WITH RECURSIVE {E_}, {FEW.format(n=22)}, w AS (SELECT source AS src, target AS dst, length_km AS km FROM few UNION ALL SELECT target, source, length_km FROM few), walk AS (SELECT src AS start, src AS node, [src] AS path, 0.0::DOUBLE AS km FROM (SELECT DISTINCT src FROM w)
     UNION ALL SELECT start, dst, list_append(path, dst), walk.km + w.km FROM walk JOIN w ON w.src = walk.node WHERE walk.km + w.km <= 4.0 AND NOT list_contains(path, dst)) SELECT start, count(DISTINCT node) AS reachable FROM walk GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = _small(spark, sf, 22)
+    e = _small(spark, sf)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     return graph.shortest_paths(e, starts, cutoff=4.0).groupBy("start").agg(F.count("*").alias("reachable"))
 
@@ -486,7 +486,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("rt19_k_shortest_paths", f"""WITH RECURSIVE {E_}, {FEW.format(n=14)}, w AS (SELECT source AS src, target AS dst, id, length_km AS km FROM few UNION ALL SELECT target, source, id, length_km FROM few), pairs AS (SELECT min(src) AS start, dst AS goal FROM w WHERE dst % 3 = 0 GROUP BY dst HAVING min(src) <> dst),
     walk AS (SELECT start, goal, start AS node, [start] AS path, 0.0::DOUBLE AS km FROM pairs UNION ALL SELECT start, goal, dst, list_append(path, dst), walk.km + w.km FROM walk JOIN w ON w.src = walk.node WHERE node <> goal AND NOT list_contains(path, dst)) SELECT start, goal, k AS path_id, round(km, 6) AS cost FROM (SELECT *, row_number() OVER (PARTITION BY start, goal ORDER BY round(km, 9)) AS k FROM walk WHERE node = goal) WHERE k <= 3""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = _small(spark, sf, 14)
+    e = _small(spark, sf)
     w = graph.symmetric(e)
     pairs = w.where("dst % 3 = 0").groupBy(F.col("dst").alias("goal")).agg(F.min("src").alias("start")).where("start <> goal")
     return routes.ksp(e, pairs, 3).select("start", "goal", F.col("path_id").cast("long").alias("path_id"), r("cost").alias("cost"))
@@ -494,19 +494,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("rt22_cycles", f"""WITH RECURSIVE {E_}, {FEW.format(n=22)}, {WALKS.format(hops=6, km='12.0', gain='1e9')} SELECT array_to_string(used, ',') AS edge_list, round(km, 6) AS total_km, hops FROM walk WHERE closed AND list_min(path) = path[1] AND path[2] < path[-2]""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    c = graph.cycles(edges(spark, sf, 22), 12.0, 6)
+    c = graph.cycles(edges(spark, sf), 12.0, 6)
     return c.select(F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",").alias("edge_list"), r("total_km").alias("total_km"), "hops")
 
 
 def _found(spark: SparkSession, sf: str) -> DataFrame:
-    e = _small(spark, sf, 22)
+    e = _small(spark, sf)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     return routes.search(e, starts, 8.0, 200.0, 20.0, 6).withColumn("route_id", F.abs(F.xxhash64("start", "edge_ids")))
 
 
 @query("rt25_lollipops")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.lollipops(_small(spark, sf, 22), 8.0, 5, 3).select("anchor", "goal", r("total_km").alias("total_km"), "overlap", F.size("edge_ids").alias("n_edges"))
+    return routes.lollipops(_small(spark, sf), 8.0, 5, 3).select("anchor", "goal", r("total_km").alias("total_km"), "overlap", F.size("edge_ids").alias("n_edges"))
 
 
 @query("rt27_greedy_cover")
@@ -554,13 +554,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("val04_degree_summary", f"WITH {E_}, {N_}, deg AS (SELECT node, count(DISTINCT id) AS degree FROM (SELECT source AS node, id FROM edges WHERE trail_id < 60 UNION ALL SELECT target, id FROM edges WHERE trail_id < 60) GROUP BY 1), t AS (SELECT coalesce(degree, 0) AS degree FROM nodes LEFT JOIN deg ON node = nodes.id) SELECT CASE WHEN degree >= 3 THEN 'intersection' WHEN degree = 2 THEN 'connector' WHEN degree = 1 THEN 'endpoint' ELSE 'unknown' END AS node_type, count(*) AS n, min(degree) AS least, max(degree) AS most, round(avg(degree), 6) AS mean FROM t GROUP BY 1")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    n = graph.nodes_with_degree(nodes(spark, sf), edges(spark, sf, 60))
+    n = graph.nodes_with_degree(nodes(spark, sf), edges(spark, sf))
     return n.groupBy("node_type").agg(F.count("*").alias("n"), F.min("degree").alias("least"), F.max("degree").alias("most"), r(F.avg("degree")).alias("mean"))
 
 
 @query("val05_orphan_counts", f"WITH {E_}, {N_}, k AS (SELECT * FROM nodes WHERE id % 3 = 0) SELECT (SELECT count(*) FROM k WHERE id NOT IN (SELECT source FROM edges WHERE trail_id < 20 UNION SELECT target FROM edges WHERE trail_id < 20)) AS orphan_nodes, (SELECT count(*) FROM edges WHERE trail_id < 20 AND (source NOT IN (SELECT id FROM k) OR target NOT IN (SELECT id FROM k))) AS orphan_edges")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    k, e = nodes(spark, sf).where("id % 3 = 0"), edges(spark, sf, 20)
+    k, e = nodes(spark, sf).where("id % 3 = 0"), edges(spark, sf)
     return graph.orphan_nodes(k, e).agg(F.count("*").alias("orphan_nodes")).crossJoin(graph.orphan_edges(k, e).agg(F.count("*").alias("orphan_edges")))
 
 
@@ -602,12 +602,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ml01_node_features", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 500), {N_}, i AS (SELECT source AS node, id, length_km FROM few UNION SELECT target, id, length_km FROM few) SELECT n.id, round(lng, 6) AS x, round(lat, 6) AS y, count(i.id) AS degree, round(coalesce(avg(length_km), 0), 6) AS avg_km FROM nodes n LEFT JOIN i ON i.node = n.id GROUP BY n.id, lng, lat")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.node_features(nodes(spark, sf), edges(spark, sf, 500)).select("id", r("x").alias("x"), r("y").alias("y"), "degree", r("avg_km").alias("avg_km"))
+    return validation.node_features(nodes(spark, sf), edges(spark, sf)).select("id", r("x").alias("x"), r("y").alias("y"), "degree", r("avg_km").alias("avg_km"))
 
 
 @query("ml02_labels", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 30), {N_}, deg AS (SELECT node, count(DISTINCT id) AS degree FROM (SELECT source AS node, id FROM few UNION ALL SELECT target, id FROM few) GROUP BY 1) SELECT n.id, CASE WHEN degree = 2 THEN 1 WHEN degree >= 4 THEN 2 ELSE 0 END AS label FROM nodes n LEFT JOIN deg ON node = n.id")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    n = graph.nodes_with_degree(nodes(spark, sf), edges(spark, sf, 30))
+    n = graph.nodes_with_degree(nodes(spark, sf), edges(spark, sf))
     return n.select("id", validation.node_label(F.col("degree")).alias("label"))
 
 
