@@ -7,9 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.test_queries import plain
-from waymesh.operators import graph, routes
+from waymesh.operators import graph, lines, routes
 from waymesh.plans import catalog_network
-from waymesh.plans.views import edges
+from waymesh.plans.views import edges, lines3d
 
 SF = "/root/testdata/sf0.001"
 #: What the registered SQL leaves out by key or modulo, for the comparison alone.
@@ -34,6 +34,11 @@ def tables(made, n):
         con.execute(f"COPY (SELECT * {keys} FROM '{SF}/{name}.parquet' {where}) TO '{made}/{name}.parquet' (FORMAT parquet)")
     return str(made)
 
+LINES = [
+    "geo02_point_to_line", "jn07_l101_crossings", "l104_multipoint_classes", "l102_endpoint_near_misses", "l105_ends_on_lines", "l117_endpoint_assignment", "l115_missed_intersections",
+    "l120_gap_connectors", "l123_duplicate_detection", "l124_merge_pairs", "val15_intersection_ratio", "net05_edges_by_nearest_node",
+]
+
 
 @pytest.fixture(scope="session")
 def far(tmp_path_factory):
@@ -45,6 +50,11 @@ def sparse(tmp_path_factory):
     return tables(tmp_path_factory.mktemp("sparse"), 2)
 
 
+@pytest.fixture(scope="session")
+def dense(tmp_path_factory):
+    return tables(tmp_path_factory.mktemp("dense"), 40)
+
+
 def agrees(spark, far, name):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
@@ -71,6 +81,29 @@ def test_all_edges(spark, far, name):
     assert agrees(spark, far, name)
 
 
+@pytest.mark.parametrize("name", LINES)
+def test_all_lines(spark, dense, name):
+    assert agrees(spark, dense, name)
+
+
+@pytest.mark.parametrize("name", ["agg10_endpoint_clusters", "val09_split_validation"])
+def test_all_ends_and_parts(spark, far, name):
+    assert agrees(spark, far, name)
+
+
+@pytest.mark.parametrize("name,key", [("l108_split_at_crossings", "parent"), ("l107_split_crossings_and_touches", "parent"), ("l112_self_intersections", "parent"), ("l118_snapped_ends", "trail_id"), ("l125_consolidated_ends", "trail_id")])
+def test_no_line_is_left_out(spark, far, name, key):
+    all_lines = {r["trail_id"] for r in lines3d(spark, far).where("size(coords) >= 2").select("trail_id").collect()}
+    assert all_lines <= {r[key] for r in entry.queries()[name](spark, far).select(key).collect()}
+
+
+def test_dedupe_and_merge_see_all_lines(spark, dense):
+    kept = {r["trail_id"] for r in entry.queries()["l122_overlap_dedupe"](spark, dense).collect()}
+    assert kept == {r["trail_id"] for r in lines.dedupe_overlaps(lines3d(spark, dense), 50.0).collect()} and max(kept) > 1000000
+    merged = entry.queries()["l124_merged_trails"](spark, dense).collect()
+    assert sum(r["n_merged"] for r in merged) == lines3d(spark, dense).count()
+
+
 def test_short_connectors_of_all_edges(spark, sparse):
     assert agrees(spark, sparse, "net17_short_connectors")
 

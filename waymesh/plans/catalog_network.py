@@ -51,7 +51,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     g AS (SELECT *, -105.25::DOUBLE AS qx, 39.95::DOUBLE AS qy, cos(radians(39.95::DOUBLE)) AS k FROM s WHERE x2 IS NOT NULL), t AS (SELECT *, CASE WHEN pow((x2 - x) * k, 2) + pow(y2 - y, 2) = 0 THEN 0 ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((qx - x) * k * (x2 - x) * k + (qy - y) * (y2 - y)) / (pow((x2 - x) * k, 2) + pow(y2 - y, 2)))) END AS t FROM g)
     SELECT trail_id, round(min({hav('qx', 'qy', '(x + t * (x2 - x))', '(y + t * (y2 - y))')}), 3) AS metres FROM t GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    found = lines3d(spark, sf, 300).where("size(coords) >= 2")
+    found = lines3d(spark, sf).where("size(coords) >= 2")
     return found.select("trail_id", r(geo.distance_to_line("coords", geo.point(-105.25, 39.95)), 3).alias("metres"))
 
 
@@ -111,12 +111,12 @@ CROSS = """c AS (SELECT s.trail_id AS id1, t.trail_id AS id2, (t.bx - t.ax) * (s
 
 @query("jn07_l101_crossings", f"WITH {P_}, {SEGS.format(n=150)}, {CROSS} SELECT id1, id2, round(x, 8) AS x, round(y, 8) AS y FROM x")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return spatial.crossings(lines3d(spark, sf, 150)).select("id1", "id2", r("x", 8).alias("x"), r("y", 8).alias("y"))
+    return spatial.crossings(lines3d(spark, sf)).select("id1", "id2", r("x", 8).alias("x"), r("y", 8).alias("y"))
 
 
 @query("l104_multipoint_classes", f"WITH {P_}, {SEGS.format(n=150)}, {CROSS} SELECT id1, id2, count(*) AS n, CASE count(*) WHEN 1 THEN 'x_intersection' WHEN 2 THEN 'dual_intersection' ELSE 'p_intersection' END AS kind FROM x GROUP BY 1, 2")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.multi_crossings(spatial.crossings(lines3d(spark, sf, 150)))
+    return lines.multi_crossings(spatial.crossings(lines3d(spark, sf)))
 
 
 ENDS = "ends AS (SELECT trail_id, 'start' AS e, arg_min(x, pt) AS x, arg_min(y, pt) AS y FROM trail_points WHERE trail_id < {n} GROUP BY 1 UNION ALL SELECT trail_id, 'end', arg_max(x, pt), arg_max(y, pt) FROM trail_points WHERE trail_id < {n} GROUP BY 1)"
@@ -124,7 +124,7 @@ ENDS = "ends AS (SELECT trail_id, 'start' AS e, arg_min(x, pt) AS x, arg_min(y,
 
 @query("l102_endpoint_near_misses", f"WITH {P_}, {ENDS.format(n=400)} SELECT a.trail_id AS id1, b.trail_id AS id2, a.e AS end1, b.e AS end2, round({hav('a.x', 'a.y', 'b.x', 'b.y')}, 3) AS metres FROM ends a JOIN ends b ON a.trail_id < b.trail_id WHERE {hav('a.x', 'a.y', 'b.x', 'b.y')} <= 300")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = spatial.endpoints(lines3d(spark, sf, 400))
+    e = spatial.endpoints(lines3d(spark, sf))
     a, b = e.select(F.col("trail_id").alias("id1"), F.col("end").alias("end1"), "x", "y"), e.select(F.col("trail_id").alias("id2"), F.col("end").alias("end2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     return spatial.within_distance(a, b, 300).where("id1 < id2").select("id1", "id2", "end1", "end2", r("metres", 3).alias("metres"))
 
@@ -135,29 +135,29 @@ TOUCH = f"""g AS (SELECT e.trail_id AS visitor, e.e, s.trail_id AS visited, e.x
 
 @query("l105_ends_on_lines", f"WITH {P_}, {SEGS.format(n=100)}, {ENDS.format(n=100)}, {TOUCH} SELECT visitor, e AS \"end\", visited, round(min(m), 3) AS metres FROM d WHERE m <= 200 GROUP BY 1, 2, 3")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return spatial.ends_on_lines(lines3d(spark, sf, 100), 200).select("visitor", "end", "visited", r("metres", 3).alias("metres"))
+    return spatial.ends_on_lines(lines3d(spark, sf), 200).select("visitor", "end", "visited", r("metres", 3).alias("metres"))
 
 
 @query("l117_endpoint_assignment", f"WITH {P_}, {SEGS.format(n=100)}, {ENDS.format(n=100)}, {TOUCH}, b AS (SELECT visitor, e, visited, min(m) AS m FROM d WHERE m <= 500 GROUP BY 1, 2, 3) SELECT visitor, e AS \"end\", round(min(m), 3) AS metres FROM b GROUP BY 1, 2")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return spatial.ends_on_lines(lines3d(spark, sf, 100), 500).groupBy("visitor", "end").agg(r(F.min("metres"), 3).alias("metres"))
+    return spatial.ends_on_lines(lines3d(spark, sf), 500).groupBy("visitor", "end").agg(r(F.min("metres"), 3).alias("metres"))
 
 
 @query("l115_missed_intersections", f"""WITH {P_}, {SEGS.format(n=150)}, {CROSS}, {ENDS.format(n=150)}, n AS (SELECT a.trail_id AS id1, b.trail_id AS id2, min({hav('a.x', 'a.y', 'b.x', 'b.y')}) AS m FROM ends a JOIN ends b ON a.trail_id < b.trail_id GROUP BY 1, 2)
     SELECT id1, id2, round(m, 3) AS metres FROM n WHERE m <= 800 AND NOT EXISTS (SELECT 1 FROM x WHERE x.id1 = n.id1 AND x.id2 = n.id2) ORDER BY m, id1, id2 LIMIT 50""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.missed_intersections(lines3d(spark, sf, 150), 800, 50).select("id1", "id2", r("metres", 3).alias("metres"))
+    return lines.missed_intersections(lines3d(spark, sf), 800, 50).select("id1", "id2", r("metres", 3).alias("metres"))
 
 
 @query("l120_gap_connectors", f"WITH {P_}, {ENDS.format(n=400)} SELECT a.trail_id AS id1, b.trail_id AS id2, round(min({hav('a.x', 'a.y', 'b.x', 'b.y')}), 3) AS metres FROM ends a JOIN ends b ON a.trail_id < b.trail_id WHERE {hav('a.x', 'a.y', 'b.x', 'b.y')} BETWEEN 1 AND 250 GROUP BY 1, 2")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.gap_connectors(lines3d(spark, sf, 400), 250, 1).select("id1", "id2", r("metres", 3).alias("metres"))
+    return lines.gap_connectors(lines3d(spark, sf), 250, 1).select("id1", "id2", r("metres", 3).alias("metres"))
 
 
 @query("l123_duplicate_detection", f"""WITH {P_}, s AS (SELECT trail_id, arg_min(x, pt) AS x, arg_min(y, pt) AS y FROM trail_points WHERE trail_id < 800 GROUP BY 1), n AS (SELECT s.*, o_orderstatus AS name FROM s JOIN orders ON o_orderkey = trail_id)
     SELECT a.trail_id AS id1, b.trail_id AS id2, round({hav('a.x', 'a.y', 'b.x', 'b.y')}, 3) AS metres FROM n a JOIN n b ON a.name = b.name AND a.trail_id < b.trail_id WHERE {hav('a.x', 'a.y', 'b.x', 'b.y')} <= 200""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    named = lines3d(spark, sf, 800).join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("trail_id"), F.col("o_orderstatus").alias("name")), "trail_id")
+    named = lines3d(spark, sf).join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("trail_id"), F.col("o_orderstatus").alias("name")), "trail_id")
     return lines.duplicates(named, 200).select("id1", "id2", r("metres", 3).alias("metres"))
 
 
@@ -165,7 +165,7 @@ CENTRES = f"{P_}, {STEPS}, t AS (SELECT trail_id, avg(x) AS x, avg(y) AS y, sum(
 
 
 def _centres(spark: SparkSession, sf: str) -> DataFrame:
-    d = lines3d(spark, sf, 700).select("trail_id", geo.centroid("coords").alias("c"), (geo.length_m("coords") / 1000).alias("length_km"))
+    d = lines3d(spark, sf).select("trail_id", geo.centroid("coords").alias("c"), (geo.length_m("coords") / 1000).alias("length_km"))
     return d.select("trail_id", F.concat(F.lit("Trail "), (F.col("trail_id") % 40).cast("string")).alias("name"), "length_km", "c.x", "c.y")
 
 
@@ -184,46 +184,46 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("l108_split_at_crossings")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.split_everywhere(lines3d(spark, sf, 200)).select("parent", "part", r(geo.length_m("coords"), 3).alias("length_m"))
+    return lines.split_everywhere(lines3d(spark, sf)).select("parent", "part", r(geo.length_m("coords"), 3).alias("length_m"))
 
 
 @query("l107_split_crossings_and_touches")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.split_everywhere(lines3d(spark, sf, 200), 10.0).select("parent", "part", r(geo.length_m("coords"), 3).alias("length_m"))
+    return lines.split_everywhere(lines3d(spark, sf), 10.0).select("parent", "part", r(geo.length_m("coords"), 3).alias("length_m"))
 
 
 @query("val09_split_validation", f"WITH {P_}, {STEPS} SELECT trail_id, round(sum(m), 2) AS parent_m, round(sum(m), 2) AS parts_m, true AS ok FROM seg WHERE trail_id < 200 GROUP BY 1")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    whole = lines3d(spark, sf, 200)
+    whole = lines3d(spark, sf)
     made = lines.split_check(whole, lines.split_everywhere(whole))
     return made.select("trail_id", r("parent_m", 2).alias("parent_m"), r("parts_m", 2).alias("parts_m"), "ok")
 
 
 @query("l112_self_intersections")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.self_split(lines3d(spark, sf, 500)).groupBy("parent").agg(F.count("*").alias("parts"), r(F.sum(geo.length_m("coords")), 3).alias("length_m"))
+    return lines.self_split(lines3d(spark, sf)).groupBy("parent").agg(F.count("*").alias("parts"), r(F.sum(geo.length_m("coords")), 3).alias("length_m"))
 
 
 @query("l118_snapped_ends")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.snap_ends(lines3d(spark, sf, 200), 100.0).select("trail_id", r(geo.length_m("coords"), 3).alias("length_m"))
+    return lines.snap_ends(lines3d(spark, sf), 100.0).select("trail_id", r(geo.length_m("coords"), 3).alias("length_m"))
 
 
 @query("l122_overlap_dedupe")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.dedupe_overlaps(lines3d(spark, sf, 200), 50.0).select("trail_id")
+    return lines.dedupe_overlaps(lines3d(spark, sf), 50.0).select("trail_id")
 
 
 @query("agg10_endpoint_clusters", f"""WITH RECURSIVE {P_}, {ENDS.format(n=120)}, near AS (SELECT a.trail_id * 2 + (a.e = 'end')::INT AS u, b.trail_id * 2 + (b.e = 'end')::INT AS v FROM ends a JOIN ends b ON {hav('a.x', 'a.y', 'b.x', 'b.y')} <= 900), reach AS (SELECT u, v FROM near UNION SELECT reach.u, near.v FROM reach JOIN near ON reach.v = near.u), low AS (SELECT u, min(v) AS c FROM reach GROUP BY 1)
     SELECT n, count(*) AS clusters FROM (SELECT c, count(*) AS n FROM low GROUP BY 1) GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    c = lines.endpoint_clusters(lines3d(spark, sf, 120), 900)
+    c = lines.endpoint_clusters(lines3d(spark, sf), 900)
     return c.groupBy("cluster").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("clusters"))
 
 
 @query("l125_consolidated_ends")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.consolidated_ends(lines3d(spark, sf, 120), 300.0).select("trail_id", r(geo.length_m("coords"), 3).alias("length_m"))
+    return lines.consolidated_ends(lines3d(spark, sf), 300.0).select("trail_id", r(geo.length_m("coords"), 3).alias("length_m"))
 
 
 # ---- network
@@ -242,7 +242,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("net05_edges_by_nearest_node", f"""WITH {P_}, {N_}, {ENDS.format(n=300)}, d AS (SELECT trail_id, e, n.id, {hav('ends.x', 'ends.y', 'n.lng', 'n.lat')} AS m FROM ends CROSS JOIN nodes n), b AS (SELECT trail_id, e, arg_min(id, {{m: m, id: id}}) AS node FROM d WHERE m <= 3000 GROUP BY 1, 2)
     SELECT s.trail_id AS id, s.node AS source, t.node AS target FROM b s JOIN b t ON s.trail_id = t.trail_id AND s.e = 'start' AND t.e = 'end' WHERE s.node <> t.node""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = spatial.endpoints(lines3d(spark, sf, 300)).withColumn("key", F.struct("trail_id", "end"))
+    e = spatial.endpoints(lines3d(spark, sf)).withColumn("key", F.struct("trail_id", "end"))
     n = nodes(spark, sf).select(F.col("id").alias("node"), F.col("lng").alias("x2"), F.col("lat").alias("y2"))
     best = spatial.within_distance(e, n, 3000).groupBy("trail_id", "end").agg(F.min(F.struct("metres", "node")).alias("m"))
     ends = best.groupBy("trail_id").agg(F.max(F.when(F.col("end") == "start", F.col("m.node"))).alias("source"), F.max(F.when(F.col("end") == "end", F.col("m.node"))).alias("target"))
@@ -589,7 +589,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("val15_intersection_ratio", f"WITH {P_}, {SEGS.format(n=150)}, {CROSS} SELECT (SELECT count(*) FROM x) AS points, (SELECT count(DISTINCT trail_id) FROM segs) AS trails, round((SELECT count(*) FROM x) / (SELECT count(DISTINCT trail_id) FROM segs)::DOUBLE, 6) AS ratio")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    whole = lines3d(spark, sf, 150)
+    whole = lines3d(spark, sf)
     counts = spatial.crossings(whole).agg(F.count("*").alias("points")).crossJoin(whole.agg(F.count("*").alias("trails")))
     return counts.withColumn("ratio", r(F.col("points") / F.col("trails")))
 
