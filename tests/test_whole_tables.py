@@ -104,6 +104,11 @@ def test_dedupe_and_merge_see_all_lines(spark, dense):
     assert sum(r["n_merged"] for r in merged) == lines3d(spark, dense).count()
 
 
+@pytest.mark.parametrize("name", ["rt11_route_score", "rt18_shortest_paths", "rt19_k_shortest_paths", "val05_orphan_counts"])
+def test_no_modulo(spark, far, name):
+    assert agrees(spark, far, name)
+
+
 def test_short_connectors_of_all_edges(spark, sparse):
     assert agrees(spark, sparse, "net17_short_connectors")
 

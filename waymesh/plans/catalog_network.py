@@ -419,8 +419,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("rt11_route_score", f"""WITH {ROUTES}, s AS (SELECT route_id, 0.37 * 100 + 15 * greatest(0.0::DOUBLE, 1 - abs(km - 10.0) / 10.0) + 15 * greatest(0.0::DOUBLE, 1 - abs(gain - 300.0) / 300.0) + least(n_trails / 2.0::DOUBLE, 1.0) * 15 + CASE WHEN n_trails >= 3 THEN 5 ELSE 0 END + greatest(0.0::DOUBLE, 15 - abs(km - 10.0)) + greatest(0.0::DOUBLE, 10 - abs(gain - 300.0) / 30.0)
     + CASE WHEN km >= 20 THEN 15 WHEN km >= 15 THEN 12 WHEN km >= 10 THEN 8 WHEN km >= 5 THEN 3 ELSE 0 END + CASE WHEN gain >= 800 THEN 8 WHEN gain >= 500 THEN 5 WHEN gain >= 200 THEN 2 ELSE 0 END - CASE WHEN km < 2 THEN 10 WHEN km < 3 THEN 5 ELSE 0 END AS v FROM (SELECT route_id, n_trails, round(km, 9) AS km, round(gain, 9) AS gain FROM rts) WHERE route_id % 7 = 3) SELECT route_id, greatest(0.0::DOUBLE, least(100.0::DOUBLE, round(round(v, 4)))) AS score FROM s""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    some = _routes(spark, sf).where("route_id % 7 = 3").withColumns({"km": F.round("km", 9), "gain": F.round("gain", 9)})
-    return some.select("route_id", scoring.route_score(F.col("km"), F.col("gain"), F.col("n_trails"), 10.0, 300.0, 0.37).alias("score"))
+    rounded = _routes(spark, sf).withColumns({"km": F.round("km", 9), "gain": F.round("gain", 9)})
+    return rounded.select("route_id", scoring.route_score(F.col("km"), F.col("gain"), F.col("n_trails"), 10.0, 300.0, 0.37).alias("score"))
 
 
 PATTERNS = "pat AS (SELECT * FROM (VALUES (1::BIGINT, 5.0::DOUBLE, 200.0::DOUBLE), (2, 10.0, 400.0), (3, 15.0, 600.0), (4, 18.0, 700.0)) t(pattern, target_km, target_gain))"
@@ -471,7 +471,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT start, dst, list_append(path, dst), walk.km + w.km FROM walk JOIN w ON w.src = walk.node WHERE walk.km + w.km <= 6.0 AND NOT list_contains(path, dst)) SELECT start, node, round(min(km), 6) AS cost FROM walk GROUP BY 1, 2""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     e = _small(spark, sf)
-    starts = graph.incident(e).where("node % 5 = 0").select(F.col("node").alias("id")).distinct()
+    starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     return graph.shortest_paths(e, starts, cutoff=6.0).select("start", "node", r("cost").alias("cost"))
 
 
@@ -488,7 +488,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     e = _small(spark, sf)
     w = graph.symmetric(e)
-    pairs = w.where("dst % 3 = 0").groupBy(F.col("dst").alias("goal")).agg(F.min("src").alias("start")).where("start <> goal")
+    pairs = w.groupBy(F.col("dst").alias("goal")).agg(F.min("src").alias("start")).where("start <> goal")
     return routes.ksp(e, pairs, 3).select("start", "goal", F.col("path_id").cast("long").alias("path_id"), r("cost").alias("cost"))
 
 
@@ -560,8 +560,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("val05_orphan_counts", f"WITH {E_}, {N_}, k AS (SELECT * FROM nodes WHERE id % 3 = 0) SELECT (SELECT count(*) FROM k WHERE id NOT IN (SELECT source FROM edges WHERE trail_id < 20 UNION SELECT target FROM edges WHERE trail_id < 20)) AS orphan_nodes, (SELECT count(*) FROM edges WHERE trail_id < 20 AND (source NOT IN (SELECT id FROM k) OR target NOT IN (SELECT id FROM k))) AS orphan_edges")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    k, e = nodes(spark, sf).where("id % 3 = 0"), edges(spark, sf)
-    return graph.orphan_nodes(k, e).agg(F.count("*").alias("orphan_nodes")).crossJoin(graph.orphan_edges(k, e).agg(F.count("*").alias("orphan_edges")))
+    n, e = nodes(spark, sf), edges(spark, sf)
+    return graph.orphan_nodes(n, e).agg(F.count("*").alias("orphan_nodes")).crossJoin(graph.orphan_edges(n, e).agg(F.count("*").alias("orphan_edges")))
 
 
 @query("val06_rule_report", f"WITH {E_} SELECT 'positive_length' AS rule, 'error' AS severity, count(*) FILTER (NOT length_km > 0) AS failed, CASE WHEN count(*) FILTER (NOT length_km > 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM edges UNION ALL SELECT 'no_self_loop', 'warning', count(*) FILTER (source = target), CASE WHEN count(*) FILTER (source = target) = 0 THEN 'PASS' ELSE 'WARNING' END FROM edges UNION ALL SELECT 'gain_not_negative', 'error', count(*) FILTER (elevation_gain < 0), CASE WHEN count(*) FILTER (elevation_gain < 0) = 0 THEN 'PASS' ELSE 'FAIL' END FROM edges")
