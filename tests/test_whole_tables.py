@@ -109,6 +109,15 @@ def test_no_modulo(spark, far, name):
     assert agrees(spark, far, name)
 
 
+@pytest.mark.parametrize("name", ["src11_cross_source_overlap", "jn03_full_outer_dead_ends", "jn11_unnest_series", "jn12_orphan_nodes", "jn16_two_hops", "jn17_array_overlap", "top04_boundary_ends"])
+def test_relational(spark, far, name):
+    assert agrees(spark, far, name)
+
+
+def test_similar_sets_of_all_trails(spark, dense):
+    assert agrees(spark, dense, "set04_jaccard")
+
+
 def test_short_connectors_of_all_edges(spark, sparse):
     assert agrees(spark, sparse, "net17_short_connectors")
 

@@ -57,7 +57,7 @@ TRI = "list_distinct(list_transform(range(1, length({0}) + 4), lambda i: substr(
     SELECT id1, id2, round(len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))), 6) AS similarity FROM pairs WHERE len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))) > 0.3
     ORDER BY similarity DESC, id1, id2 LIMIT 100""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "part").where("p_partkey < 300").select("p_partkey", "p_name", "p_brand")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
     a, b = p.select(F.col("p_partkey").alias("id1"), F.col("p_name").alias("n1"), "p_brand"), p.select(F.col("p_partkey").alias("id2"), F.col("p_name").alias("n2"), "p_brand")
     pairs = a.join(b, "p_brand").where("id1 < id2").withColumn("similarity", trigram_similarity(F.col("n1"), F.col("n2"))).where("similarity > 0.3")
     return pairs.select("id1", "id2", r6("similarity").alias("similarity")).orderBy(F.desc("similarity"), "id1", "id2").limit(100)
@@ -187,7 +187,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("jn03_full_outer_dead_ends", f"""WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 60), o AS (SELECT source AS node, count(*) AS n_out FROM few GROUP BY 1), i AS (SELECT target AS node, count(*) AS n_in FROM few GROUP BY 1)
     SELECT coalesce(o.node, i.node) AS node, coalesce(n_in, 0) AS n_in, coalesce(n_out, 0) AS n_out FROM o FULL JOIN i ON o.node = i.node WHERE n_in IS NULL OR n_out IS NULL""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.dead_ends(edges(spark, sf, 60))
+    return graph.dead_ends(edges(spark, sf))
 
 
 @query("jn04_incident_edges", f"WITH {E_}, {N_} SELECT n.id AS node, e.id FROM nodes n JOIN edges e ON e.source = n.id OR e.target = n.id")
@@ -242,12 +242,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("jn11_unnest_series", "SELECT o_orderkey, k AS step FROM orders, LATERAL (SELECT unnest(range(1, (o_orderkey % 4 + 2)::BIGINT)) AS k) WHERE o_orderkey < 2000")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").where("o_orderkey < 2000").select("o_orderkey", F.explode(F.sequence(F.lit(1).cast("long"), F.col("o_orderkey") % 4 + 1)).alias("step"))
+    return table(spark, sf, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(1).cast("long"), F.col("o_orderkey") % 4 + 1)).alias("step"))
 
 
 @query("jn12_orphan_nodes", f"WITH {E_}, {N_} SELECT id FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.trail_id < 10 AND (e.source = n.id OR e.target = n.id))")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.orphan_nodes(nodes(spark, sf), edges(spark, sf, 10)).select("id")
+    return graph.orphan_nodes(nodes(spark, sf), edges(spark, sf)).select("id")
 
 
 @query("jn13_nodes_with_long_edge", f"WITH {E_}, {N_} SELECT id FROM nodes n WHERE EXISTS (SELECT 1 FROM edges e WHERE e.source = n.id AND length_km >= 4.9)")
@@ -271,14 +271,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("jn16_two_hops", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 400) SELECT a.id AS id1, b.id AS id2, round(a.length_km + b.length_km, 6) AS km FROM few a JOIN few b ON a.target = b.source AND a.id <> b.id")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = edges(spark, sf, 400)
+    e = edges(spark, sf)
     a, b = e.select(F.col("id").alias("id1"), F.col("target").alias("mid"), F.col("length_km").alias("k1")), e.select(F.col("id").alias("id2"), F.col("source").alias("mid"), F.col("length_km").alias("k2"))
     return a.join(b, "mid").where("id1 <> id2").select("id1", "id2", r6(F.col("k1") + F.col("k2")).alias("km"))
 
 
 @query("jn17_array_overlap", f"""WITH {E_}, p AS (SELECT trail_id, list_distinct(list(source)) AS path FROM edges WHERE trail_id < 80 GROUP BY trail_id) SELECT a.trail_id AS id1, b.trail_id AS id2 FROM p a JOIN p b ON a.trail_id < b.trail_id AND list_has_any(a.path, b.path)""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    p = edges(spark, sf, 80).select("trail_id", "source").distinct()
+    p = edges(spark, sf).select("trail_id", "source").distinct()
     return p.select(F.col("trail_id").alias("id1"), "source").join(p.select(F.col("trail_id").alias("id2"), "source"), "source").where("id1 < id2").select("id1", "id2").distinct()
 
 
@@ -407,7 +407,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from waymesh.operators.routes import boundary_ends
 
-    return boundary_ends(nodes(spark, sf), edges(spark, sf, 30), 50)
+    return boundary_ends(nodes(spark, sf), edges(spark, sf), 50)
 
 
 @query("top06_seeded_sample")
@@ -442,4 +442,4 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from waymesh.operators.routes import similar_sets
 
-    return similar_sets(edges(spark, sf, 150).select("trail_id", "trail_name"), "trail_id", "trail_name", 0.5).select("id1", "id2", r6("jaccard").alias("jaccard"))
+    return similar_sets(edges(spark, sf).select("trail_id", "trail_name"), "trail_id", "trail_name", 0.5).select("id1", "id2", r6("jaccard").alias("jaccard"))
