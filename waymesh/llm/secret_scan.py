@@ -1,10 +1,10 @@
 """Secret scanning with corpus-wide ownership frequency, DataFrame operations only.
 
-Patterns give candidate spans. Values that look live (long, mixed, no placeholder words)
-are hashed, and the hashes are counted over the corpus by distinct owners and
-repositories: a value that many owners have is an example that was copied; one that
-belongs to few is a credential of its owner. The base spans always stay; a value of few
-owners adds a span of kind ``live`` over the value itself.
+Patterns give candidate spans. The values of base spans and others that look live (long,
+mixed, no placeholder words) are hashed, and the hashes are counted over the corpus by
+distinct owners and repositories: a value that many owners have is an example that was
+copied; one that belongs to few is a credential of its owner. The base spans always stay;
+a value of few owners that looks live adds a span of kind ``live`` over the value itself.
 
 Texts never leave the scan: what is aggregated, joined and kept are spans and hashes. A
 value that a third of all rows hold is counted after (value, owner) pairs were combined
@@ -58,7 +58,7 @@ def looks_live(value: Column) -> Column:
 
 def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str | None = None) -> DataFrame:
     """(doc_id, owner, repository, text_hash, spans) per row; a span has kind, rank, start,
-    end, and for values that look live their place and sha256."""
+    end, and for base values and others that look live their place, sha256 and whether they do."""
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select("doc_id", F.col(owner).alias("owner"), F.col(repository or owner).alias("repository"), t.alias("t"))
     value = lambda m: F.regexp_extract(m["match"], f"^{ASSIGN}$", 2)
@@ -66,9 +66,10 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
     def spans(kind: str, found: Column, inner: object = None) -> Column:
         def span(m: Column) -> Column:
             v = inner(m) if inner else m["match"]
+            hashed = F.struct((m["end"] - F.length(v)).alias("start"), m["end"].alias("end"), F.sha2(v.cast("binary"), 256).alias("sha256"), looks_live(v).alias("looks"))
             return F.struct(
                 F.lit(kind).alias("kind"), F.lit([*KINDS, LIVE].index(kind)).alias("rank"), m["start"].alias("start"), m["end"].alias("end"),
-                F.when(looks_live(v), F.struct((m["end"] - F.length(v)).alias("start"), m["end"].alias("end"), F.sha2(v.cast("binary"), 256).alias("sha256"))).alias("value"),
+                (F.when(looks_live(v), hashed) if kind == LIVE else hashed).alias("value"),
             )
 
         return F.transform(found, span)
@@ -85,7 +86,7 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(sha256, owners, repositories) of every value that looks live."""
+    """(sha256, owners, repositories) of every hashed value."""
     values = found.select("owner", "repository", F.explode("spans.value").alias("v")).where("v is not null")
     values = values.select(F.col("v.sha256").alias("sha256"), F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository")).distinct()
     # distinct owners from the distinct pairs: owner first, then value, so no set is held in memory
@@ -94,10 +95,11 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged(found: DataFrame, most_owners: int = 2, most_repositories: int = 4) -> DataFrame:
-    """(doc_id, text_hash, start, end, live) for the values that look live, once each."""
+    """(doc_id, text_hash, start, end, looks, live) for the hashed values, once each; ``live``
+    if few own them."""
     values = found.select("doc_id", "text_hash", F.explode("spans.value").alias("v")).where("v is not null").select("doc_id", "text_hash", "v.*").distinct()
     live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
-    return values.join(ownership(found), "sha256").select("doc_id", "text_hash", "start", "end", live.alias("live"))
+    return values.join(ownership(found), "sha256").select("doc_id", "text_hash", "start", "end", "looks", live.alias("live"))
 
 
 def _said(spans: Column) -> Column:
@@ -112,7 +114,7 @@ def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def op10_secret_scan(docs: DataFrame) -> DataFrame:
     found = checkpointed(scan(docs))
-    added = judged(found).where("live").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", F.lit(3).alias("rank"), F.lit(LIVE).alias("kind"), "end")).alias("added"))
+    added = judged(found).where("live AND looks").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", F.lit(3).alias("rank"), F.lit(LIVE).alias("kind"), "end")).alias("added"))
     plain = F.transform(F.filter("spans", lambda s: s["rank"] < 3), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
     base = found.select("doc_id", "text_hash", F.sort_array(F.coalesce(plain, F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>"))).alias("base"))
     both = _joined(base, added).withColumn("spans", F.sort_array(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")))))
