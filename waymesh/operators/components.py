@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymesh.plans.durable import checkpointed
+from waymesh.plans.hot import unique_join
+
+#: Edges from which on the nodes with very many edges are joined by themselves.
+MANY_EDGES = 50_000
+
+
+def _with_least(pairs: DataFrame, key: str, other: str, many: bool, counted: Column) -> DataFrame:
+    """``pairs`` where ``counted`` with ``m``, the least of ``key`` and its ``other``s."""
+    least = pairs.groupBy(key).agg(F.min(other).alias("m"), F.count_if(counted).alias("uses")).where("uses > 0").select(key, F.least(key, "m").alias("m"), "uses")
+    rows = pairs.where(counted)
+    return unique_join(rows, checkpointed(least), key, "uses") if many else rows.join(least.drop("uses"), key)
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -29,10 +40,11 @@ def connected_components(edges: DataFrame, source: str = "source", target: str =
         if not mark[0]:
             break
         ends = stars.select(F.col("a").alias("n"), F.col("b").alias("o")).unionAll(stars.select(F.col("b").alias("n"), F.col("a").alias("o")))
-        least = ends.groupBy("n").agg(F.min("o").alias("m")).select("n", F.least("n", "m").alias("m"))
-        large = ends.where("o > n").join(least, "n").where("o <> m").select(F.col("o").alias("a"), F.col("m").alias("b")).distinct()
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(lower.select("a", F.col("m").alias("b"))).distinct()
+        many = mark[0] > MANY_EDGES
+        large = _with_least(ends, "n", "o", many, F.col("o") > F.col("n")).where("o <> m").select(F.col("o").alias("a"), F.col("m").alias("b")).distinct()
+        large = checkpointed(large) if many else large
+        met = _with_least(large, "a", "b", many, F.lit(True))
+        small = met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(met.select("a", F.col("m").alias("b"))).distinct()
         stars, before = checkpointed(small), mark
         mark = _mark(stars)
         if mark == before:
