@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -9,12 +10,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.fixtures import ROWS, documents
-from waymesh.llm import packing, token_store
+from waymesh.llm import encoding, packing, token_store
 from waymesh.llm.encoding import encoder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-plain = Tokenizer.from_file(VOCABULARY)
-plain.encode_special_tokens = True
+plain, as_text = Tokenizer.from_file(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+as_text.encode_special_tokens = True
 ODD = "a'ts \t\n\r\x0b\x0c\x1c\x85\xa0 　​<|endoftext|>9½é中\U0001f600.,don't  !"
 
 
@@ -28,6 +29,28 @@ def test_encoder_is_the_tokenizer(text):
     assert np.frombuffer(encoder(VOCABULARY).encode(text), dtype="<u4").tolist() == direct(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "endoftext", "|>", " ", "a", "\n", "é", "<", "'s"]), max_size=12).map("".join))
+def test_strings_of_special_tokens(text):
+    assert np.frombuffer(encoder(VOCABULARY).encode(text), dtype="<u4").tolist() == direct(text)
+    assert np.frombuffer(encoder(VOCABULARY, True).encode(text), dtype="<u4").tolist() == as_text.encode(text, add_special_tokens=False).ids
+
+
+def test_generations_of_chunks_and_other_files(tmp_path, monkeypatch):
+    monkeypatch.setattr(encoding, "CACHED_CHUNKS", 3)
+    made = encoding.Encoder(VOCABULARY)
+    for text in ["a b c d e f g a b c", "é x y z a b", "a a a b c d d"] * 3:
+        assert np.frombuffer(made.encode(text), dtype="<u4").tolist() == direct(text)
+    assert len(made.ids) <= 3 and len(made.older) <= 3
+    # a file that puts a blank before each text is not encoded by chunks
+    file = json.loads(plain.to_str())
+    file["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "v.json").write_text(json.dumps(file))
+    other, truth = encoding.Encoder(str(tmp_path / "v.json")), Tokenizer.from_file(str(tmp_path / "v.json"))
+    assert not other.by_chunks and made.by_chunks
+    assert np.frombuffer(other.encode("word by word"), dtype="<u4").tolist() == truth.encode("word by word", add_special_tokens=False).ids
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
@@ -100,6 +123,26 @@ def test_store_keeps_chunks_once_and_finds_damage(spark, tmp_path):
         token_store.read_digests(spark, f"{path}-c")
 
 
+def test_store_finds_changed_and_missing_parts(spark, tmp_path):
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(documents(spark).repartition(4), path, VOCABULARY)
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("chunks", "recipes", "manifest")}
+    first = tables["recipes"].agg(F.min("shard")).first()[0]
+    last = F.lit(tables["recipes"].agg(F.max("start")).first()[0])
+    cases = {
+        "no_chunk": {"chunks": tables["chunks"].where(F.col("hash") != tables["recipes"].where(F.col("start") == last).first()["hashes"][0])},
+        "ends": {"recipes": tables["recipes"].withColumn("ends", F.transform("ends", lambda e, k: F.when(k < F.size("ends") - 1, e - 1).otherwise(e)))},
+        "ids": {"recipes": tables["recipes"].withColumn("doc_id", F.col("doc_id") + 1)},
+        "places": {"recipes": tables["recipes"].withColumn("start", F.col("start") + 1)},
+        "shard": {n: tables[n].where(F.col("shard") != first) for n in ("recipes", "manifest")},
+    }
+    for name, changed in cases.items():
+        for n, t in (tables | changed).items():
+            t.write.parquet(f"{path}-{name}/{n}")
+        with pytest.raises(Exception, match="missing|manifest"):
+            token_store.read_digests(spark, f"{path}-{name}").collect()
+
+
 def test_chunks_follow_content():
     rnd = np.random.default_rng(3)
     shared = rnd.integers(0, 50_000, 6000).astype("<u4")

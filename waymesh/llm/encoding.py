@@ -5,11 +5,18 @@ is the sequence of its chunks, each some white space and what follows up to the
 letters and other characters never join, a chunk that starts with Latin letters ends after
 them. Most chunks come again and again: the ids of a chunk are kept, within a bound, and the library
 is asked for new ones only. Chunks of plain letters, digits and punctuation go straight to
-the library's model; all others go through its whole tokenizer.
+the library's model; all others go through its whole tokenizer. Whether a vocabulary file has
+the parts that this relies on is read from it once; with any other file, and for a text that
+holds the string of an added token, the library encodes the whole text.
+
+Defined cases: a null or empty text has no ids. Strings of special tokens in a text become
+their ids, as the library does it, or ordinary text with ``special_as_text``. Texts are encoded
+whole, whatever their length.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -24,8 +31,11 @@ _CHUNK = re.compile(f"[{_BLANK}]*[{_LATIN}]+(?=[{_AFTER}{_BLANK}]|$)|[{_BLANK}]*
 _PLAIN = re.compile("[\t\n\r ]*[!-~\u00c0-\u024f]*")
 #: The split that byte-level vocabularies of this kind are made with.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Chunks whose ids are kept, and the longest that is.
-CACHED_CHUNKS, LONGEST_CACHED = 600_000, 64
+#: Chunks whose ids are kept in a generation, of which there are two, and the longest that is.
+CACHED_CHUNKS, LONGEST_CACHED = 150_000, 64
+#: What a vocabulary file must say for its texts to be encoded chunk by chunk.
+_PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False, "ignore_merges": False}
 
 
 def _byte_letters() -> dict[int, int]:
@@ -39,38 +49,52 @@ def _byte_letters() -> dict[int, int]:
 class Encoder:
     """Encodes texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        says = json.loads(self.tokenizer.to_str())
+        has = lambda part, wanted: all((part or {}).get(k, v) == v for k, v in wanted.items())
+        self.by_chunks = says["normalizer"] is None and (says["pre_tokenizer"] or {}).get("type") == "ByteLevel" and has(says["pre_tokenizer"], _PRE_TOKENIZER) and has(says["model"], _MODEL)
+        self.added = [t["content"] for t in says["added_tokens"] if not (special_as_text and t["special"])]
+        # one that reaches into the text around it, or is matched in changed text
+        self.by_chunks &= not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in says["added_tokens"])
         self.letters = _byte_letters()
         self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _new(self, chunk: str) -> bytes:
-        if _PLAIN.fullmatch(chunk):
-            model, letters = self.tokenizer.model.tokenize, self.letters
-            ids = [t.id for part in _SPLIT.findall(chunk) for t in model(part.encode().decode("latin-1").translate(letters))]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        made = array("I", ids).tobytes()
-        if len(chunk) <= LONGEST_CACHED and len(self.ids) < CACHED_CHUNKS:
+        made = self.older.get(chunk)
+        if made is None:
+            if _PLAIN.fullmatch(chunk):
+                model, letters = self.tokenizer.model.tokenize, self.letters
+                ids = [t.id for part in _SPLIT.findall(chunk) for t in model(part.encode().decode("latin-1").translate(letters))]
+            else:
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            made = array("I", ids).tobytes()
+        if len(chunk) <= LONGEST_CACHED:
+            if len(self.ids) >= CACHED_CHUNKS:
+                self.older, self.ids = self.ids, {}
             self.ids[chunk] = made
         return made
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        known, new = self.ids.get, self._new
+        if not self.by_chunks or any(t in text for t in self.added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        known, new = self.ids.get, self._new  # within a text a generation that has just gone by is still asked
         return b"".join([known(c) or new(c) for c in _CHUNK.findall(text)])
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, special_as_text: bool = False) -> Encoder:
     """The encoder of this process; a worker that runs more tasks keeps it."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+    key = vocabulary, special_as_text
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]

@@ -6,15 +6,17 @@ A store is a folder of three tables:
   two bytes where the vocabulary allows it, else four, little-endian.
 * ``recipes``: per document, in ascending order of its id, the place of its first id, the
   number of ids, its chunks' hashes and where each ends, and the document's root, the
-  sha256 of its chunks' hashes.
+  sha256 of all these.
 * ``manifest``: per shard (a range of documents) their number and its root, the sha256 of
-  the documents' roots in order.
+  the documents' roots in order; and in a row of its own, shard -1, the number of all
+  documents and the store's root, the sha256 of the shards' numbers and roots in order.
 
 A hash over the last 16 ids that rolls along the stream cuts where its low bits are zero,
 so that equal passages of different documents give equal chunks wherever they begin.
 
-Reading verifies: a chunk's bytes give its hash, hashes give the document's root, roots the
-shard's, and lengths add up; what doesn't fit raises. A document's crc32 is put together
+Reading verifies: a chunk's bytes give its hash and length; id, place, length, ends and hashes
+give the document's root, roots the shard's, and those the store's; every chunk is there and as
+long as its ends say. What doesn't fit raises. A document's crc32 is put together
 from its chunks' crc32s, each moved by the bytes after it, so checking a store moves hashes
 and not ids.
 
@@ -37,7 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymesh.llm.encoding import encoder
-from waymesh.plans.durable import remove, table_path
+from waymesh.plans.durable import checkpointed, remove, table_path
+from waymesh.plans.hot import unique_join
 from waymesh.plans.prefix import running_totals
 
 END_ID = 2
@@ -123,12 +126,24 @@ def root(hashes: Column) -> Column:
     return F.unhex(F.sha2(F.unhex(F.array_join(F.transform(hashes, F.hex), "")), 256))
 
 
+def document_root() -> Column:
+    """sha256 over all that a recipe says, as text; a null id is told apart from any other."""
+    said = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("start").cast("string"), F.col("n_tokens").cast("string"), F.array_join(F.col("ends").cast("array<string>"), ","), F.array_join(F.transform("hashes", F.hex), ","))
+    return F.unhex(F.sha2(said.cast("binary"), 256))
+
+
 def shard_roots(recipes: DataFrame) -> DataFrame:
     """(shard, n_docs, root): a shard is one range of documents, as large as a task."""
     ordered = F.sort_array(F.collect_list(F.struct("start", "root")))
     return recipes.groupBy("shard").agg(F.count("*").alias("n_docs"), ordered.alias("r")).select("shard", "n_docs", root(F.col("r.root")).alias("root"))
 
 
+def store_root(shards: DataFrame) -> DataFrame:
+    """The same for the whole store, as shard -1; some 50 bytes a shard meet in one task."""
+    said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("shard", "n_docs", F.hex("root").alias("root")))), lambda x: F.concat_ws(" ", x["shard"].cast("string"), x["n_docs"].cast("string"), x["root"])), ",")
+    return shards.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"), F.unhex(F.sha2(said.cast("binary"), 256)).alias("root")).select(F.lit(-1).alias("shard"), "n_docs", "root")
+
+
 def write_store(docs: DataFrame, path: str, vocabulary: str, text: str = "text", end_id: int = END_ID) -> None:
     """Encode, cut and write a store below ``path``, a folder that all executors share."""
     spark = docs.sparkSession
@@ -139,10 +154,11 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, text: str = "text",
     chunks = made.select(F.explode("fresh").alias("c")).select("c.*")
     chunks.groupBy("hash").agg(F.first("n").alias("n"), F.first("ids").alias("ids")).write.option("compression", "zstd").parquet(f"{path}/chunks")
     placed = running_totals(made.select("doc_id", "part", "row", "n_tokens", "hashes", "ends"), ["doc_id", "part", "row"], ["n_tokens"])
-    recipes = placed.select("shard", "doc_id", F.col("n_tokens_before").alias("start"), "n_tokens", "hashes", "ends", root(F.col("hashes")).alias("root"))
+    recipes = placed.select("shard", "doc_id", F.col("n_tokens_before").alias("start"), "n_tokens", "hashes", "ends").withColumn("root", document_root())
     # running totals leave each shard in order and in one task
     recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
-    shard_roots(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
+    shards = checkpointed(shard_roots(spark.read.parquet(f"{path}/recipes")))
+    shards.unionByName(store_root(shards)).write.parquet(f"{path}/manifest")
     remove(spark, stage)
 
 
@@ -192,16 +208,23 @@ def checked_chunks(chunks: DataFrame) -> DataFrame:
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the files and verified."""
     recipes, manifest = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/manifest")
-    found = shard_roots(recipes.withColumn("root", root(F.col("hashes"))))
+    found = checkpointed(shard_roots(recipes.withColumn("root", document_root())))
+    found = found.unionByName(store_root(found))
     wrong = found.alias("a").join(manifest.alias("b"), "shard", "full").where("NOT (a.root <=> b.root AND a.n_docs <=> b.n_docs)")
     if not wrong.isEmpty():
         raise ValueError(f"{path}: the recipes don't match the manifest")
-    entries = recipes.select("doc_id", "start", "n_tokens", F.explode(F.arrays_zip("hashes", "ends")).alias("e")).select("doc_id", "start", "n_tokens", F.col("e.hashes").alias("hash"), ((F.col("n_tokens") - F.col("e.ends")) * 4).alias("after"))
-    joined = entries.join(checked_chunks(spark.read.parquet(f"{path}/chunks")), "hash")
-    parts = joined.select("doc_id", "start", "n_tokens", "n", moved_crc("crc", "after").alias("crc"))
+    pieces = F.zip_with("hashes", F.transform("ends", lambda e, k: F.struct(e.alias("end"), F.when(k == 0, F.lit(0)).otherwise(F.get("ends", k - 1)).alias("begin"))), lambda h, e: F.struct(h.alias("hash"), e["begin"].alias("begin"), e["end"].alias("end")))
+    entries = recipes.select("doc_id", "start", "n_tokens", F.explode(pieces).alias("e")).select("doc_id", "start", "n_tokens", "e.hash", (F.col("e.end") - F.col("e.begin")).alias("n"), ((F.col("n_tokens") - F.col("e.end")) * 4).alias("after"))
+    known = checkpointed(checked_chunks(spark.read.parquet(f"{path}/chunks")).withColumnRenamed("n", "n_"))
+    # the few chunks that very many documents have (the end id alone) are broadcast
+    uses = entries.groupBy("hash").agg(F.count("*").alias("uses"))
+    needed = checkpointed(uses.join(known, "hash", "left"))
+    joined = unique_join(entries, needed, "hash", "uses")
+    fits = F.when(F.col("n_") == F.col("n"), F.col("crc")).otherwise(F.raise_error(F.concat(F.lit("a chunk is missing or of another length at "), F.col("start").cast("string"))).cast("long"))
+    parts = joined.select("doc_id", "start", "n_tokens", "n", moved_crc(fits, F.col("after")).alias("crc"))
     whole = parts.groupBy("start", "doc_id", "n_tokens").agg(F.bit_xor("crc").alias("ids_crc32"), F.sum("n").alias("n"))
-    fits = F.when(F.col("n") == F.col("n_tokens"), F.col("n_tokens")).otherwise(F.raise_error(F.concat(F.lit("chunks are missing at "), F.col("start").cast("string"))))
-    return whole.select("doc_id", "start", fits.cast("long").alias("n_tokens"), "ids_crc32")
+    fits = F.when(F.col("n") == F.col("n_tokens"), F.col("n_tokens")).otherwise(F.raise_error(F.concat(F.lit("chunks are missing at "), F.col("start").cast("string"))).cast("long"))
+    return whole.select("doc_id", "start", fits.alias("n_tokens"), "ids_crc32")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -212,9 +235,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     @F.pandas_udf("binary")
     def whole(ids: pd.Series, n: pd.Series) -> pd.Series:
+        if any(x is None for p in ids for x in p):
+            raise ValueError("a chunk is missing")
         return pd.Series([np.frombuffer(b"".join(p), dtype=f"<u{sum(map(len, p)) // k}").astype("<u4").tobytes() for p, k in zip(ids, n, strict=True)])
 
-    joined = entries.join(spark.read.parquet(f"{path}/chunks").select("hash", "ids"), "hash").groupBy("doc_id", "start", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p"))
+    joined = entries.join(spark.read.parquet(f"{path}/chunks").select("hash", "ids"), "hash", "left").groupBy("doc_id", "start", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p"))
     return joined.select("doc_id", "start", "n_tokens", whole(F.col("p.ids"), "n_tokens").alias("ids"))
 
 
