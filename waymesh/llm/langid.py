@@ -133,15 +133,15 @@ def learn(rows: Iterable[tuple[str, np.ndarray]], margin: float = 0.2, rounds: i
     return LanguageModel(languages, code, weights, bias, (trust / trust.mean()).astype(np.float32), margin)
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = 500) -> LanguageModel | None:
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = 500, most_rows: int = 4096) -> LanguageModel | None:
     """Fit on at most about ``rows_per_language`` rows of each language, chosen by the hash
     of ``key``. Features are made where the rows are; the driver gets one small vector each
-    and never more than 4096 rows in all."""
+    and never more than ``most_rows`` rows in all."""
     labelled = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
     if not counts:
         return None
-    size = min(rows_per_language, max(1, 4096 // len(counts)))
+    size = min(rows_per_language, max(1, most_rows // len(counts)))
     place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30))
     limits = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(int(min(1.0, size / n) * (1 << 30))))])
 
@@ -150,8 +150,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
         made = (features(t) for t in texts)
         return pd.Series([None if v is None else v.astype(np.float16).tobytes() for v in made])
 
-    chosen = labelled.where(place < limits[F.col(lang)]).select(F.col(lang).alias("l"), place.alias("p"), vector(text).alias("v")).where("v is not null").limit(4096)
-    rows = sorted((r["l"], r["p"], bytes(r["v"])) for r in chosen.collect())
+    # no filter on what the UDF returns: it would be computed twice
+    chosen = labelled.where((place < limits[F.col(lang)]) & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("l"), place.alias("p"), vector(text).alias("v")).orderBy("p", "l").limit(most_rows)
+    rows = sorted((r["l"], r["p"], bytes(r["v"])) for r in chosen.collect() if r["v"] is not None)
     return learn((r[0], np.frombuffer(r[2], dtype=np.float16).astype(np.float32)) for r in rows)
 
 
