@@ -32,9 +32,12 @@ from pyspark.sql import functions as F
 
 from waymesh.llm.common import fresh
 from waymesh.operators.components import connected_components
-from waymesh.plans.durable import checkpointed
+from waymesh.plans.durable import checkpointed, written
+from waymesh.plans.hot import unique_join
 
 SEED, CHUNK, LOW = 42, 1 << 16, 0xFFFFFFFF
+#: Ids (with a fingerprint each, 16 bytes) up to which those that go are broadcast.
+BROADCAST_IDS = 500_000
 
 
 def fingerprint_of(text: str | None, shingle: int = 3) -> int:
@@ -99,30 +102,35 @@ def links(prints: DataFrame, most_in_entry: int = 64) -> DataFrame:
 
 
 def components(prints: DataFrame, most_in_entry: int = 64) -> DataFrame:
-    """(fp, component_id) from rows (doc_id, fp): the least id reachable by links."""
-    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    joined = connected_components(links(distinct, most_in_entry)).withColumnRenamed("node", "fp")
-    tied = joined.join(distinct, "fp")
-    least = tied.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    tied = tied.select("fp", "component").join(least, "component").select("fp", "component_id")
-    return checkpointed(distinct.join(tied, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    """(fp, component_id, copies) from rows (doc_id, fp): the least id reachable by links and
+    the number of rows."""
+    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")))
+    joined = checkpointed(connected_components(links(distinct, most_in_entry)).withColumnRenamed("node", "fp"))
+    tied = joined.join(distinct, "fp").select("fp", "component", "first_id")
+    least = checkpointed(tied.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("uses")))
+    tied = unique_join(tied.select("fp", "component"), least, "component", "uses").select("fp", "component_id")
+    return checkpointed(distinct.join(tied, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"), "copies"))
 
 
 def op6_simhash_dedup(docs: DataFrame) -> DataFrame:
     prints = checkpointed(docs.select("doc_id", fingerprint("text").alias("fp")))
-    made = prints.join(components(prints), "fp")
+    made = unique_join(prints, components(prints), "fp", "copies")
     return made.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the least id, with its columns. Documents
-    with a null id stay only where no other is in the group."""
+    with a null id stay only where no other is in the group.
+
+    Documents are written once with their fingerprints; then only ids and fingerprints are
+    moved, and the ids of what goes are broadcast if they are at most ``BROADCAST_IDS``."""
     fp = fresh(docs, "fp")
-    prints = checkpointed(docs.select("doc_id", fingerprint("text").alias("fp")))
-    placed = prints.join(components(prints), "fp")
-    dropped = placed.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
-    marked = docs.withColumn(fp, fingerprint("text"))
+    marked = written(docs.withColumn(fp, fingerprint("text")), "fingerprints")
+    prints = marked.select("doc_id", F.col(fp).alias("fp"))
+    placed = unique_join(prints, components(prints), "fp", "copies")
+    dropped = checkpointed(placed.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct())
     lost = dropped.select(F.col("doc_id").alias("lost_id"), F.col("fp").alias("lost_fp"))
+    lost = F.broadcast(lost) if dropped.count() <= BROADCAST_IDS else lost
     kept = marked.join(lost, marked["doc_id"].eqNullSafe(lost["lost_id"]) & (marked[fp] == lost["lost_fp"]), "left_anti")
     if not prints.groupBy("doc_id", "fp").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", fp])  # rows given twice
