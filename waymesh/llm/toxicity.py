@@ -11,8 +11,11 @@ fitted along with the weights, and is no part of a score.
 
 Defined cases: a null or empty text, and one without a word, is a bag of one empty
 sentence and gets the (small) probability of that. With no labelled rows, or only one kind
-of label, every score is the share of label 1 (0 without rows). Repeated rows are scored
-alike. Texts are read whole.
+of label, every score is the share of label 1 (0 without rows), and no sentence is blamed.
+Repeated rows are scored alike. Texts are read whole.
+
+Bounds of learning, all of them parameters or constants here: ``rows`` labelled rows,
+``most_features`` features, and no feature from words of over ``LONGEST_WORD`` characters.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from waymesh.llm.common import fold, fresh
 SENTENCE_END = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"\w+")
 #: Longer words are never features. Words whose weights are kept at hand while scoring.
-LONGEST_WORD, CACHED_WORDS = 40, 400_000
+LONGEST_WORD, CACHED_WORDS = 40, 150_000
 
 
 def sentences(text: str | None) -> Iterator[tuple[int, int]]:
@@ -112,6 +115,12 @@ class ToxicityModel:
         found = [(a, b, self.sentence(text[a:b])) for a, b in sentences(text) if b]
         return [x for x in found if x[2] >= threshold]
 
+    def blamed(self, text: str | None, threshold: float = 0.5) -> list[tuple[int, int, float]]:
+        """The sentences that ``locate`` gives, or the worst if it gives none: a document can
+        be toxic by many sentences of middling probability."""
+        found = self.locate(text, 0.0)
+        return [x for x in found if x[2] >= threshold] or sorted(found, key=lambda x: (-x[2], x[0]))[:1]
+
 
 def learn(bags: list[list[list[int]]], labels: np.ndarray, words: list[str], rounds: int = 250, decay: float = 2e-5) -> ToxicityModel:
     """Full-batch Adam on the log-likelihood of the document labels."""
@@ -211,6 +220,22 @@ def offending(model: ToxicityModel, text: Column | str, threshold: float = 0.5)
     return located(text)
 
 
+def judged(model: ToxicityModel, text: Column | str, threshold: float, at_least: float = 0.5) -> Column:
+    """A struct (score, offending): ``offending`` says start:end, code points, of the sentences
+    at or over ``at_least``, or of the worst where none is, comma-joined, in texts that score
+    ``threshold`` or more; it is empty in others."""
+
+    @F.pandas_udf("score double, offending string")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        cache: dict[str, float] = {}
+        for texts in batches:
+            scores = [model.score(t, cache) for t in texts]
+            spans = ["" if s < threshold else ",".join(f"{a}:{b}" for a, b, _ in model.blamed(t, at_least)) for s, t in zip(scores, texts, strict=True)]
+            yield pd.DataFrame({"score": np.array(scores, dtype=np.float64), "offending": spans})
+
+    return judge(text)
+
+
 def learned_part(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts and labels of the documents that a model may learn from."""
     docs = docs.where(fold("doc_id", 3) != 1).select("doc_id", "text")
@@ -219,8 +244,8 @@ def learned_part(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op5_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     model = fit(learned_part(docs, labels))
-    made = docs.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), scored(model, "text").alias("score"))
-    return made.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    made = docs.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), judged(model, "text", threshold).alias("j"))
+    return made.select("doc_id", "held_out", "j.score", (F.col("j.score") >= threshold).cast("int").alias("predicted"), "j.offending")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
