@@ -61,6 +61,39 @@ def test_short_and_placeholder_values_are_counted_too(spark):
     assert all("live" not in r["spans"] for r in secret_scan.op10_secret_scan(documents(spark, copied + own)).collect())
 
 
+def test_thousands_of_matches_in_one_text(spark):
+    text = "é " + "".join(f"{k:024x} token={k:06d} " for k in range(6000))
+    got = secret_scan.op10_secret_scan(documents(spark, [(1, text, "en", "s")])).first()
+    want = brute(text)
+    assert (got["n_assign"], got["n_access"], got["n_hex"], got["base_sha256"]) == want[:4] and got["n_hex"] == 6000
+
+
+def test_live_spans_match_plain_python(spark):
+    keys = [f"{k:02d}Zq8xT5vB2nM7wL4cR9{k}" for k in range(6)]
+    texts = [f"see password: {keys[k % 6]} and {'ab12CD34' * 5}{k % 4} or {keys[k % 6].lower() * 2}" for k in range(24)]
+    rows = [(k, t, "en", f"src{k % (1 + k % 6)}") for k, t in enumerate(texts)]
+    owners = {}
+    spans = {}
+    for k, t, _, owner in rows:
+        spans[k] = {(m.start(2), m.end(2)) for m in ASSIGN.finditer(t) if len(m[2]) >= 6} | {m.span() for m in re.finditer("[A-Za-z0-9+/_-]{32,}", t)}
+        for a, b in spans[k]:
+            owners.setdefault(t[a:b], set()).add(owner)
+    looks = lambda v: len(v) >= 16 and len(set(v)) >= 8 and re.search("[0-9]", v) and re.search("[A-Za-z]", v) and not re.search(secret_scan.PLACEHOLDER, v)
+    want = {k: {f"live:{a}:{b}" for a, b in spans[k] if looks(t[a:b]) and len(owners[t[a:b]]) <= 2} for k, t, *_ in rows}
+    got = {r["doc_id"]: {x for x in r["spans"].split(",") if x.startswith("live")} for r in secret_scan.op10_secret_scan(documents(spark, rows)).collect()}
+    assert got == want and any(want.values()) and any(len(o) > 2 for o in owners.values())
+
+
+def test_a_value_that_most_rows_hold(spark, monkeypatch):
+    from waymesh.plans import hot
+
+    monkeypatch.setattr(hot, "LEAST_ROWS", 2)
+    common = "Zq8xT5vB2nM7wL4cR9k1"
+    rows = [(k, f"token={common if k < 30 else f'own{k}abcdef'}", "en", "one") for k in range(40)]
+    got = secret_scan.op10_secret_scan(documents(spark, rows)).collect()
+    assert len(got) == 40 and all(("live" in r["spans"]) == (r["doc_id"] < 30) and r["n_assign"] == 1 for r in got)
+
+
 def test_empty(spark):
     assert secret_scan.op10_secret_scan(documents(spark, [])).count() == 0
     assert secret_scan.redact(documents(spark, [])).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,3 +27,29 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once, and only where it is needed."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def sums_before(sizes: Column, block: int = 256) -> Column:
+    """For an array of numbers the array of the sums of all that come before each, as longs.
+
+    A block of sums is built at a time and the blocks' own sums likewise, so that no
+    append copies a long array."""
+    sums = "struct<at:bigint,got:array<bigint>>"
+
+    def step(a: Column, size: Column) -> Column:
+        return F.struct((a["at"] + size).alias("at"), F.array_append(a["got"], a["at"]).alias("got")).cast(sums)
+
+    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("got")).cast(sums)
+    blocks = F.filter(F.sequence(F.lit(0), F.floor(F.size(sizes) / block).cast("int")), lambda b: b * block < F.size(sizes))
+    inner = F.transform(blocks, lambda b: F.aggregate(F.slice(sizes, b * block + 1, block), none, step))
+
+    def placed(found: Column) -> Column:
+        bases = F.aggregate(found, none, lambda a, x: step(a, x["at"]), lambda a: a["got"])
+        return F.flatten(F.zip_with(found, bases, lambda x, base: F.transform(x["got"], lambda v: v + base)))
+
+    return let(inner, placed)

@@ -8,7 +8,8 @@ a value of few owners that looks live adds a span of kind ``live`` over the valu
 
 Texts never leave the scan: what is aggregated, joined and kept are spans and hashes. A
 value that a third of all rows hold is counted after (value, owner) pairs were combined
-on the map side, and its count, one row, meets the spans in a join that can be split.
+on the map side; the counts of the few values that are so common are broadcast to their
+spans, and only the others are shuffled.
 
 Defined cases: a null or empty text has no spans. A null owner counts as one owner.
 Repeated rows are each returned with the same spans; extra columns are ignored. Texts
@@ -20,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import fresh
+from waymesh.llm.common import fresh, let, sums_before
+from waymesh.plans.hot import unique_join
 from waymesh.plans.durable import checkpointed
 
 #: Fixed patterns of the base kinds, in their order.
@@ -39,15 +41,20 @@ def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their code points, end exclusive. They are set
     in marks that no pattern matches; where the text has such marks itself, others stand in."""
     marked = F.regexp_replace(F.replace(F.replace(text, F.lit(OPEN), F.lit("\x04")), F.lit(CLOSE), F.lit("\x04")), pattern, f"{OPEN}$0{CLOSE}")
-    pieces = F.split(marked, OPEN)
 
-    def step(a: Column, piece: Column) -> Column:
-        size = F.locate(CLOSE, piece) - 1
-        one = F.struct(a["at"].alias("start"), (a["at"] + size).alias("end"), F.substring(piece, F.lit(1), size).alias("match"))
-        return F.struct((a["at"] + F.length(piece) - 1).alias("at"), F.array_append(a["got"], one).cast(FOUND).alias("got"))
+    def placed(pieces: Column) -> Column:
+        rest = F.slice(pieces, 2, F.size(pieces))
+        first = F.length(F.get(pieces, F.lit(0)))
+        starts = sums_before(F.transform(rest, lambda p: F.length(p) - 1))
 
-    start = F.struct(F.length(F.get(pieces, F.lit(0))).alias("at"), F.array().cast(FOUND).alias("got"))
-    return F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), start, step, lambda a: a["got"])
+        def one(piece: Column, before: Column) -> Column:
+            size = F.locate(CLOSE, piece) - 1
+            at = (first + before).cast("int")
+            return F.struct(at.alias("start"), (at + size).alias("end"), F.substring(piece, F.lit(1), size).alias("match"))
+
+        return F.zip_with(rest, starts, one)
+
+    return let(F.split(marked, OPEN), placed).cast(FOUND)
 
 
 def looks_live(value: Column) -> Column:
@@ -86,20 +93,22 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(sha256, owners, repositories) of every hashed value."""
+    """(sha256, owners, repositories, uses) of every hashed value."""
     values = found.select("owner", "repository", F.explode("spans.value").alias("v")).where("v is not null")
-    values = values.select(F.col("v.sha256").alias("sha256"), F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository")).distinct()
+    values = values.select(F.col("v.sha256").alias("sha256"), F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository"))
     # distinct owners from the distinct pairs: owner first, then value, so no set is held in memory
-    by_owner = values.groupBy("sha256", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("sha256").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
+    by_both = values.groupBy("sha256", "owner", "repository").agg(F.count("*").alias("uses"))
+    by_owner = by_both.groupBy("sha256", "owner").agg(F.count("*").alias("n"), F.sum("uses").alias("uses"))
+    return by_owner.groupBy("sha256").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"), F.sum("uses").alias("uses"))
 
 
 def judged(found: DataFrame, most_owners: int = 2, most_repositories: int = 4) -> DataFrame:
-    """(doc_id, text_hash, start, end, looks, live) for the hashed values, once each; ``live``
-    if few own them."""
-    values = found.select("doc_id", "text_hash", F.explode("spans.value").alias("v")).where("v is not null").select("doc_id", "text_hash", "v.*").distinct()
+    """(doc_id, text_hash, start, end, looks, live) for the hashed values; ``live`` if few
+    own them."""
+    values = found.select("doc_id", "text_hash", F.explode("spans.value").alias("v")).where("v is not null").select("doc_id", "text_hash", "v.*")
     live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
-    return values.join(ownership(found), "sha256").select("doc_id", "text_hash", "start", "end", "looks", live.alias("live"))
+    made = unique_join(values, checkpointed(ownership(found)), "sha256", "uses")
+    return made.select("doc_id", "text_hash", "start", "end", "looks", live.alias("live")).distinct()
 
 
 def _said(spans: Column) -> Column:
