@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import sentencepiece
 
 from tests.llm.fixtures import ROWS, documents
 from waymesh.llm import sp_sampling
@@ -71,6 +72,8 @@ def test_all_rows_round_trip(spark):
     got = sp_sampling.sample_segmentations(documents(spark, rows), MODEL, k=3)
     made = sp_sampling.decoded(got, MODEL).collect()
     assert all(r["round_trip"] for r in made)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert all(library.decode(np.frombuffer(r["ids"], dtype="<u4").tolist()) == r["decoded"] for r in made)
     texts = {}
     for d, t, *_ in rows:
         texts.setdefault(d, set()).add(t or "")
@@ -81,3 +84,4 @@ def test_all_rows_round_trip(spark):
     again = {(r["doc_id"], r["sample"], bytes(r["ids"])) for r in got.repartition(3).collect()}
     assert again == {(r["doc_id"], r["sample"], bytes(r["ids"])) for r in made}
     assert sp_sampling.op4_segmentation_sampling(documents(spark, []), MODEL).count() == 0
+

@@ -94,6 +94,8 @@ class Vocabulary:
                 rank += 1
         self.longest = max(map(len, self.log), default=1)
         self.tables = self._tables()
+        if any(re.search("[^ ] ", x) for x in self.log):
+            raise ValueError(f"{model}: a piece with a blank inside would cross the chunks")
         # pieces that run from a Latin letter on to another ASCII character would join chunks
         self.joins = any(re.search("[A-Za-z][\\x00-@\\[-`{-\\x7f]", x) for x in self.log)
 
@@ -437,8 +439,14 @@ def sample_segmentations(df: DataFrame, model: str, k: int = 2, key: str = "doc_
     decode to the text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawer = sampler(model, k, sharpness)
         gc.disable()  # millions of small objects and no cycles
+        try:
+            yield from drawn(batches)
+        finally:
+            gc.enable()
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawer = sampler(model, k, sharpness)
         for whole in batches:
             texts, names = whole.column(1).to_pylist(), whole.column(2).to_pylist()
             at = 0
@@ -463,7 +471,6 @@ def sample_segmentations(df: DataFrame, model: str, k: int = 2, key: str = "doc_
                     names=[key, "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "round_trip"],
                 )
                 at = upto
-        gc.enable()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, F.col(text).alias("t"), F.col(key).cast("string").alias("k")).mapInArrow(rows, f"`{key}` {kind}, sample int, ids binary, n_pieces long, log_prob double, perturbed double, inclusion double, round_trip boolean")

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from waymesh.operators.components import connected_components
 from waymesh.plans.durable import checkpointed
+from waymesh.plans.hot import unique_join
 
 #: Vectors that a list should hold; vectors of a block that are compared at once.
 IN_LIST, BLOCK = 48, 1024
@@ -270,13 +271,13 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, most_in_list: int = 51
         more = linked_classes(classes.where(F.size("embedding") == size), size, cosine, most_in_list, recall)
         links, edges = more if links is None else (links.unionByName(more[0]), edges.unionByName(more[1]))
     if links is None:
-        joined = classes.select("embedding", F.lit(0).cast("long").alias("n_links"), F.col("first_id").alias("component_id"))
+        joined = classes.select("embedding", F.lit(0).cast("long").alias("n_links"), F.col("first_id").alias("component_id"), "copies")
     else:
         tied = connected_components(edges, "a", "b").select(F.col("node").alias("cid"), "component")
         placed = classes.join(links, "cid", "left").join(tied, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
         least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        joined = placed.join(least, "component").select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id")
-    found = rows.where("sound").select("vec_id", "embedding").join(joined, "embedding").select("vec_id", "n_links", "component_id")
+        joined = placed.join(least, "component").select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id", "copies")
+    found = unique_join(rows.where("sound").select("vec_id", "embedding"), checkpointed(joined), "embedding", "copies").select("vec_id", "n_links", "component_id")
     alone = rows.where("NOT sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
