@@ -16,9 +16,10 @@ def col(c: Column | str) -> Column:
 
 
 def haversine(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Metres between two points."""
+    """Metres between two points; null where a coordinate is."""
     a = F.pow(F.sin(F.radians(y2 - y1) / 2), F.lit(2)) + F.cos(F.radians(y1)) * F.cos(F.radians(y2)) * F.pow(F.sin(F.radians(x2 - x1) / 2), F.lit(2))
-    return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    # not least(): it passes over nulls, and a missing point has no distance
+    return 2 * EARTH_M * F.asin(F.when(a > 1, F.lit(1.0)).otherwise(F.sqrt(a)))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -160,7 +161,7 @@ def proper_crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 def crossing_ratio(a: Column, b: Column, c: Column, d: Column) -> Column:
     """Where on ab, from 0 to 1, the lines ab and cd meet."""
-    return cross(c, d, a) / (cross(c, d, a) - cross(c, d, b))
+    return F.try_divide(cross(c, d, a), cross(c, d, a) - cross(c, d, b))
 
 
 def between(a: Column, b: Column, t: Column) -> Column:
@@ -178,8 +179,8 @@ def nearest_ratio(p: Column, a: Column, b: Column) -> Column:
     k = F.cos(F.radians(p["y"]))
     dx, dy = (b["x"] - a["x"]) * k, b["y"] - a["y"]
     squared = dx * dx + dy * dy
-    t = ((p["x"] - a["x"]) * k * dx + (p["y"] - a["y"]) * dy) / squared
-    return F.when(squared == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)))
+    t = F.try_divide((p["x"] - a["x"]) * k * dx + (p["y"] - a["y"]) * dy, squared)
+    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)), F.lit(0.0))
 
 
 def closest(line: Column | str, p: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,43 +34,173 @@ def multi_crossings(crossings: DataFrame) -> DataFrame:
     return n.withColumn("kind", F.when(F.col("n") == 1, "x_intersection").when(F.col("n") == 2, "dual_intersection").otherwise("p_intersection"))
 
 
-def cut_ratios(lines: DataFrame, crossings: DataFrame, touches: DataFrame | None = None, key: str = "trail_id", line: str = "coords", least: float = 0.0015) -> DataFrame:
-    """(key, ratios): where each line is to be cut, shares of its length in order. A crossing
-    counts for both of its lines, a touching end for the line it touches; cuts at a share
-    within ``least`` of an end are none."""
-    points = crossings.select(F.col("id1").alias(key), "x", "y").unionAll(crossings.select("id2", "x", "y"))
-    if touches is not None:
-        points = points.unionAll(touches.select("visited", "x", "y"))
-    located = points.join(lines.select(key, line), key).select(key, geo.locate(line, geo.point(F.col("x"), F.col("y"))).alias("r"))
-    inner = located.where(F.col("r").between(least, 1 - least))
-    return inner.groupBy(key).agg(F.array_sort(F.array_distinct(F.collect_list(F.round("r", 9)))).alias("ratios"))
-
-
-def split(lines: DataFrame, ratios: DataFrame, key: str = "trail_id", line: str = "coords") -> DataFrame:
-    """(parent, part, id, coords): every line cut once at all of its ratios; others whole."""
-    joined = lines.join(ratios, key, "left").withColumn("_parts", F.when(F.size("ratios") > 0, geo.split_at(line, F.col("ratios"))).otherwise(F.array(line)))
-    rows = joined.select(F.col(key).alias("parent"), F.posexplode("_parts").alias("part", "coords"))
-    return rows.select("parent", "part", F.sha2(F.concat_ws("#", F.col("parent").cast("string"), F.col("part").cast("string")), 256).alias("id"), "coords")
-
-
-def split_everywhere(lines: DataFrame, touch_m: float | None = None, key: str = "trail_id", line: str = "coords") -> DataFrame:
-    """Lines cut at all crossings and, with ``touch_m``, where ends of others touch them."""
-    touches = None if touch_m is None else spatial.ends_on_lines(lines, touch_m, key, line)
-    return split(lines, cut_ratios(lines, spatial.crossings(lines, key, line), touches, key, line), key, line)
+def crossing_points(crossings: DataFrame, key: str = "trail_id") -> DataFrame:
+    """(key, seg, t, x, y, z): a crossing's place on both of its lines."""
+    one = crossings.select(F.col("id1").alias(key), F.col("seg1").alias("seg"), F.col("ratio").alias("t"), "x", "y", "z")
+    return one.unionAll(crossings.select("id2", "seg2", "ratio2", "x", "y", "z"))
+
+
+def touching_points(touches: DataFrame, key: str = "trail_id") -> DataFrame:
+    """The same for what ``points_on_lines`` finds, on the visited line."""
+    return touches.select(F.col("visited").alias(key), "seg", "t", "x", "y", "z")
+
+
+def measured_segments(lines: DataFrame, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """(key, seg, from_m, len_m, total_m): where each segment lies along its line."""
+    s = spatial.segment_rows(lines, key, line).select(key, "seg", geo.distance(F.col("a"), F.col("b")).alias("len_m"))
+    along = Window.partitionBy(key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    return s.select(key, "seg", F.coalesce(F.sum("len_m").over(along), F.lit(0.0)).alias("from_m"), "len_m", F.sum("len_m").over(Window.partitionBy(key)).alias("total_m"))
+
+
+def cuts(lines: DataFrame, points: DataFrame, key: str = "trail_id", line: str = "coords", least: float = 0.0015) -> DataFrame:
+    """(key, r, p): where each line is to be cut, as a share of its length, and the point
+    there; points at one share, to nine places, are one, and those within ``least`` of an end
+    are none."""
+    placed = points.join(measured_segments(lines, key, line), [key, "seg"]).withColumn("r", (F.col("from_m") + F.col("t") * F.col("len_m")) / F.col("total_m"))
+    inner = placed.where(F.col("r").between(least, 1 - least))
+    return inner.groupBy(key, F.round("r", 9).alias("r")).agg(F.min(F.struct("x", "y", "z")).alias("p"))
+
+
+def split(lines: DataFrame, cuts: DataFrame, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """(parent, part, id, coords): every line cut at all of its cuts; others whole.
+
+    A line's points and cuts are rows in the order of their place; the part of a row is the
+    number of cuts before it, and a cut ends one part and begins the next. So the work grows
+    with the points and not with points times cuts."""
+    along = Window.partitionBy(key).orderBy("i")
+    points = lines.select(key, F.posexplode(line).alias("i", "p"))
+    step = F.coalesce(geo.distance(F.lag("p").over(along), F.col("p")), F.lit(0.0))
+    points = points.withColumn("m", step).withColumn("at", F.sum("m").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    total = F.sum("m").over(Window.partitionBy(key))
+    points = points.select(key, F.when(total > 0, F.col("at") / total).otherwise(0.0).alias("r"), (F.col("i") + 1).alias("i"), "p")
+    rows = points.unionByName(cuts.select(key, "r", F.lit(0).alias("i"), "p"))
+    before = Window.partitionBy(key).orderBy("r", "i").rowsBetween(Window.unboundedPreceding, -1)
+    is_cut = F.col("i") == 0
+    rows = rows.withColumn("part", F.coalesce(F.sum(is_cut.cast("int")).over(before), F.lit(0)).cast("int")).withColumn("last_cut", F.last(F.when(is_cut, F.col("r")), True).over(before))
+    rows = rows.where(is_cut | F.col("last_cut").isNull() | (F.col("last_cut") != F.col("r")))
+    rows = rows.withColumn("part", F.explode(F.when(is_cut, F.array("part", F.col("part") + 1)).otherwise(F.array("part"))))
+    made = rows.groupBy(F.col(key).alias("parent"), "part").agg(F.sort_array(F.collect_list(F.struct("r", "i", "p"))).alias("c"))
+    made = made.select("parent", "part", F.transform("c", lambda v: v["p"]).alias("coords"))
+    made = made.unionByName(lines.where(F.coalesce(F.size(line) <= 0, F.lit(True))).select(F.col(key).alias("parent"), F.lit(0).alias("part"), F.col(line).alias("coords")))
+    return made.select("parent", "part", part_id(F.col("parent"), F.col("part")).alias("id"), "coords")
+
+
+def part_id(parent: Column, part: Column) -> Column:
+    """An id that the same cut of the same line always gets."""
+    return F.sha2(F.concat_ws("#", parent.cast("string"), part.cast("string")), 256)
+
+
+def split_everywhere(lines: DataFrame, touch_m: float | None = None, key: str = "trail_id", line: str = "coords", crossing: bool = True) -> DataFrame:
+    """Lines cut at all crossings (unless ``crossing`` is false) and, with ``touch_m``, where
+    ends of others touch them."""
+    points = crossing_points(spatial.crossings(lines, key, line), key) if crossing else None
+    if touch_m is not None:
+        touching = touching_points(spatial.ends_on_lines(lines, touch_m, key, line), key)
+        points = touching if points is None else points.unionByName(touching)
+    return lines.select(F.col(key).alias("parent"), F.lit(0).alias("part"), part_id(F.col(key), F.lit(0)).alias("id"), F.col(line).alias("coords")) if points is None else split(lines, cuts(lines, points, key, line), key, line)
+
+
+def split_doubles(lines: DataFrame, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """Lines cut where they cross another one exactly twice."""
+    found = spatial.crossings(lines, key, line)
+    twice = multi_crossings(found).where("n = 2").select("id1", "id2")
+    return split(lines, cuts(lines, crossing_points(found.join(twice, ["id1", "id2"], "left_semi"), key), key, line), key, line)
+
+
+def split_at_points(lines: DataFrame, points: DataFrame, metres: float, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """Lines cut at the nearest point to each of ``points`` (point, x, y, z) within ``metres``."""
+    return split(lines, cuts(lines, touching_points(spatial.points_on_lines(points, lines, metres, ["point"], key, line), key), key, line), key, line)
+
+
+def split_until_stable(lines: DataFrame, metres: float, rounds: int = 10, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """(id, root, coords): ends moved onto a line within ``metres``, and that line cut there, round
+    after round until nothing is cut (``rounds`` at most, the surveyed limit). ``root`` is the key
+    of the line that a part comes from."""
+    now = checkpointed(lines.select(F.col(key).cast("string").alias("id"), F.col(key).alias("root"), F.col(line).alias("coords")))
+    for _ in range(rounds):
+        moved = checkpointed(snap_ends(now, metres, "id", "coords"))
+        touches = spatial.ends_on_lines(moved, metres, "id", "coords")
+        found = checkpointed(cuts(moved, touching_points(touches, "id"), "id", "coords"))
+        if found.isEmpty():
+            return moved
+        parts = split(moved, found, "id", "coords").withColumn("many", F.count("*").over(Window.partitionBy("parent")) > 1)
+        named = parts.select("parent", F.when(F.col("many"), F.col("id")).otherwise(F.col("parent")).alias("id"), "coords")
+        now = checkpointed(named.join(moved.select(F.col("id").alias("parent"), "root"), "parent").select("id", "root", "coords"))
+    return now
+
+
+def split_rows(lines: DataFrame, parts: DataFrame, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """The geometry ledger of a split: (key, change, n_parts, before_hash, after_hash): 'split',
+    'kept' or 'deleted' for each line, with hashes of the coordinates before and after."""
+    said = lambda c: F.md5(F.to_json(c).cast("binary"))
+    after = parts.groupBy(F.col("parent").alias(key)).agg(F.count("*").alias("n_parts"), F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", said("coords").alias("h")))), lambda x: x["h"]), "").cast("binary")).alias("after_hash"))
+    joined = lines.select(key, said(line).alias("before_hash")).join(after, key, "left")
+    change = F.when(F.col("n_parts").isNull(), "deleted").when(F.col("n_parts") > 1, "split").otherwise("kept")
+    return joined.select(key, change.alias("change"), F.coalesce("n_parts", F.lit(0)).alias("n_parts"), "before_hash", "after_hash")
+
+
+def proximity_groups(lines: DataFrame, metres: float, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """Lines with the ends of each group of near ends moved to its mean, and then cut where an
+    end of another line lies on them."""
+    moved = checkpointed(consolidated_ends(lines, metres, key, line))
+    return split_everywhere(moved, metres, key, line, crossing=False)
+
+
+def dedupe_by_distance(lines: DataFrame, metres: float, key: str = "trail_id", line: str = "coords") -> DataFrame:
+    """Of each group of lines whose starts and ends lie within ``metres`` of each other's, the
+    longest, the least key among equals."""
+    e = lines.select(F.col(key).alias("k"), geo.start_point(line).alias("s"), geo.end_point(line).alias("t"))
+    a = e.select(F.col("k").alias("id1"), F.col("t").alias("t1"), F.col("s.x").alias("x"), F.col("s.y").alias("y"))
+    b = e.select(F.col("k").alias("id2"), F.col("t").alias("t2"), F.col("s.x").alias("x2"), F.col("s.y").alias("y2"))
+    pairs = spatial.within_distance(a, b, metres).where("id1 < id2").where(geo.distance(F.col("t1"), F.col("t2")) <= metres)
+    groups = connected_components(pairs, "id1", "id2").select(F.col("node").alias(key), "component")
+    tied = lines.join(groups, key, "left").withColumn("component", F.coalesce("component", key))
+    best = Window.partitionBy("component").orderBy(F.round(geo.length_m(line), 6).desc(), key)
+    return tied.withColumn("_k", F.row_number().over(best)).where("_k = 1").drop("_k", "component")
+
+
+def simplified(lines: DataFrame, metres: float, line: str = "coords") -> DataFrame:
+    """Lines without the points that lie within ``metres`` of the straight way between the points
+    kept before and after them, by halving at the farthest point."""
+    @F.pandas_udf(geo.LINE)
+    def made(column: pd.Series) -> pd.Series:
+        return pd.Series([None if c is None else thinned(list(c), metres) for c in column])
+
+    return lines.withColumn(line, made(line))
+
+
+def thinned(points: list[dict], metres: float) -> list[dict]:
+    """The points that ``simplified`` keeps; distances on the plane around the first point."""
+    if len(points) < 3:
+        return points
+    xyz = np.array([(p["x"], p["y"]) for p in points], dtype=float) * geo.METRES_PER_DEGREE
+    xyz[:, 0] *= np.cos(np.radians(points[0]["y"]))
+    keep, open_ = {0, len(points) - 1}, [(0, len(points) - 1)]
+    while open_:
+        i, j = open_.pop()
+        if j - i < 2:
+            continue
+        d, between = xyz[j] - xyz[i], xyz[i + 1 : j] - xyz[i]
+        squared = float(d @ d)
+        t = np.clip(between @ d / squared, 0, 1) if squared else np.zeros(len(between))
+        far = np.hypot(*(between - t[:, None] * d).T)
+        k = int(far.argmax())
+        if far[k] > metres:
+            keep.add(i + 1 + k)
+            open_ += [(i, i + 1 + k), (i + 1 + k, j)]
+    return [points[k] for k in sorted(keep)]
 
 
 def self_split(lines: DataFrame, key: str = "trail_id", line: str = "coords") -> DataFrame:
     """Lines that cross themselves cut at those points, into simple parts."""
-    s = geo.segments(line)
-    hits = F.flatten(F.transform(s, lambda p, i: F.transform(F.filter(F.slice(s, i + 3, F.size(s)), lambda q: geo.proper_crossing(p["a"], p["b"], q["a"], q["b"])), lambda q: F.struct(i.alias("i"), p.alias("p"), q.alias("q")))))
-    found = lines.select(key, line, F.explode(hits).alias("h"))
-    m = geo.measures(line)
-    one = F.get(m, F.col("h.i")) + geo.crossing_ratio(F.col("h.p.a"), F.col("h.p.b"), F.col("h.q.a"), F.col("h.q.b")) * (F.get(m, F.col("h.i") + 1) - F.get(m, F.col("h.i")))
-    j = F.array_position(s, F.col("h.q")).cast("int") - 1
-    two = F.get(m, j) + geo.crossing_ratio(F.col("h.q.a"), F.col("h.q.b"), F.col("h.p.a"), F.col("h.p.b")) * (F.get(m, j + 1) - F.get(m, j))
-    total = F.element_at(m, -1)
-    ratios = found.select(key, F.explode(F.array(one / total, two / total)).alias("r")).groupBy(key).agg(F.array_sort(F.collect_list("r")).alias("ratios"))
-    return split(lines, ratios, key, line)
+    s = F.transform(geo.segments(line), lambda p, i: F.struct(i.alias("j"), p["a"].alias("a"), p["b"].alias("b")))
+    hits = F.flatten(F.transform(s, lambda p, i: F.transform(F.filter(F.slice(s, i + 3, F.size(s)), lambda q: geo.proper_crossing(p["a"], p["b"], q["a"], q["b"])), lambda q: F.struct(i.alias("i"), q["j"].alias("j"), p.alias("p"), q.alias("q")))))
+    found = lines.select(key, F.explode(hits).alias("h"))
+    p, q, i, j = F.col("h.p"), F.col("h.q"), F.col("h.i"), F.col("h.j")
+    one, two = geo.crossing_ratio(p["a"], p["b"], q["a"], q["b"]), geo.crossing_ratio(q["a"], q["b"], p["a"], p["b"])
+    both = found.select(key, one.alias("t1"), two.alias("t2"), i.alias("i"), j.alias("j"), geo.between(p["a"], p["b"], one).alias("at"))
+    points = both.select(key, F.col("i").alias("seg"), F.col("t1").alias("t"), "at.*").unionAll(both.select(key, "j", "t2", "at.*"))
+    return split(lines, cuts(lines, points, key, line, 0.0), key, line)
 
 
 def missed_intersections(lines: DataFrame, metres: float, n: int, key: str = "trail_id", line: str = "coords") -> DataFrame:
@@ -143,7 +275,7 @@ def dedupe_overlaps(lines: DataFrame, metres: float, share: float = 0.8, key: st
     s = spatial.covering(spatial.segment_rows(lines, key, line), size, margin).select(F.col(key).alias("other"), "a", "b", "gx", "gy")
     near = points.join(s, ["gx", "gy"]).where("k <> other").where(geo.distance(F.col("p"), geo.between(F.col("a"), F.col("b"), geo.nearest_ratio(F.col("p"), F.col("a"), F.col("b")))) <= metres)
     met = near.groupBy("k", "other").agg(F.count_distinct("i").alias("n"))
-    info = lines.select(F.col(key).alias("k"), geo.length_m(line).alias("m"), F.size(line).alias("points"))
+    info = lines.select(F.col(key).alias("k"), F.round(geo.length_m(line), 6).alias("m"), F.size(line).alias("points"))
     both = met.join(info, "k").join(info.select(F.col("k").alias("other"), F.col("m").alias("m2")), "other")
     lost = both.where((F.col("n") >= F.col("points") * share) & ((F.col("m2") > F.col("m")) | ((F.col("m2") == F.col("m")) & (F.col("other") < F.col("k")))))
     return lines.join(lost.select(F.col("k").alias(key)).distinct(), key, "left_anti")

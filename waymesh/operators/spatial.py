@@ -72,24 +72,32 @@ def covering(segments: DataFrame, size: float, margin: float = 0.0) -> DataFrame
 
 
 def crossings(lines: DataFrame, key: str = "trail_id", line: str = "coords", size: float = 0.02) -> DataFrame:
-    """(id1, id2, seg1, seg2, x, y, z, ratio): points inside segments of two different lines.
-    A crossing is taken in the cell that holds it, so each is found once."""
+    """(id1, id2, seg1, seg2, x, y, z, ratio, ratio2): points inside segments of two different
+    lines, with their places on both segments. A crossing is taken in the cell that holds
+    it, so each is found once."""
     s = covering(segment_rows(lines, key, line), size)
     one = s.select(F.col(key).alias("id1"), F.col("seg").alias("seg1"), F.col("a").alias("a1"), F.col("b").alias("b1"), "gx", "gy")
     two = s.select(F.col(key).alias("id2"), F.col("seg").alias("seg2"), F.col("a").alias("a2"), F.col("b").alias("b2"), "gx", "gy")
     met = one.join(two, ["gx", "gy"]).where("id1 < id2").where(geo.proper_crossing(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2")))
     met = met.withColumn("ratio", geo.crossing_ratio(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2"))).withColumn("p", geo.between(F.col("a1"), F.col("b1"), F.col("ratio")))
     met = met.where((F.floor(F.col("p.x") / size) == F.col("gx")) & (F.floor(F.col("p.y") / size) == F.col("gy")))
-    return met.select("id1", "id2", "seg1", "seg2", "p.x", "p.y", "p.z", "ratio")
+    return met.select("id1", "id2", "seg1", "seg2", "p.x", "p.y", "p.z", "ratio", geo.crossing_ratio(F.col("a2"), F.col("b2"), F.col("a1"), F.col("b1")).alias("ratio2"))
+
+
+def points_on_lines(points: DataFrame, lines: DataFrame, metres: float, visitor: list[str], key: str = "trail_id", line: str = "coords", size: float = 0.02) -> DataFrame:
+    """(visitor columns, visited, metres, seg, t, x, y, z): for each of ``points`` (visitor
+    columns, x, y, z) and each line within ``metres``, the nearest point of that line."""
+    margin = metres / geo.METRES_PER_DEGREE * 2.5  # enough for longitudes up to 66 degrees north
+    s = covering(segment_rows(lines, key, line), size, margin).select(F.col(key).alias("visited"), "seg", "a", "b", "gx", "gy")
+    e = points.select(*visitor, geo.point(F.col("x"), F.col("y"), F.col("z")).alias("p"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
+    met = e.join(s, ["gx", "gy"]).withColumn("t", geo.nearest_ratio(F.col("p"), F.col("a"), F.col("b")))
+    met = met.withColumn("q", geo.between(F.col("a"), F.col("b"), F.col("t"))).withColumn("metres", geo.distance(F.col("p"), F.col("q"))).where(F.col("metres") <= metres)
+    best = met.groupBy(*visitor, "visited").agg(F.min(F.struct("metres", F.col("q.x").alias("x"), F.col("q.y").alias("y"), F.col("q.z").alias("z"), "seg", "t")).alias("m"))
+    return best.select(*visitor, "visited", "m.*")
 
 
 def ends_on_lines(lines: DataFrame, metres: float, key: str = "trail_id", line: str = "coords", size: float = 0.02) -> DataFrame:
-    """(visitor, end, visited, metres, x, y): for each end and each other line within
+    """(visitor, end, visited, metres, seg, t, x, y, z): for each end and each other line within
     ``metres``, the nearest point of that line."""
-    margin = metres / geo.METRES_PER_DEGREE * 2.5  # enough for longitudes up to 66 degrees north
-    s = covering(segment_rows(lines, key, line), size, margin).select(F.col(key).alias("visited"), "a", "b", "gx", "gy")
-    e = endpoints(lines, key, line).select(F.col(key).alias("visitor"), "end", geo.point(F.col("x"), F.col("y"), F.col("z")).alias("p"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
-    met = e.join(s, ["gx", "gy"]).where("visitor <> visited")
-    met = met.withColumn("q", geo.between(F.col("a"), F.col("b"), geo.nearest_ratio(F.col("p"), F.col("a"), F.col("b")))).withColumn("metres", geo.distance(F.col("p"), F.col("q"))).where(F.col("metres") <= metres)
-    best = met.groupBy("visitor", "end", "visited").agg(F.min(F.struct("metres", F.col("q.x").alias("x"), F.col("q.y").alias("y"))).alias("m"))
-    return best.select("visitor", "end", "visited", "m.metres", "m.x", "m.y")
+    ends = endpoints(lines, key, line).withColumnRenamed(key, "visitor")
+    return points_on_lines(ends, lines, metres, ["visitor", "end"], key, line, size).where("visitor <> visited")

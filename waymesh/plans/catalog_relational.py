@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from waymesh.operators import graph
 from waymesh.plans.registry import query
-from waymesh.plans.views import EDGES, NODES, TRAILS, edges, hav, nodes, table, trails
+from waymesh.plans.views import EDGES, NODES, TRAILS, edges, hav, nodes, same_tile, table, trails
 from waymesh.sources.readers import expand_box, in_box, keep_latest, trigram_similarity
 
 E_, N_, T_ = EDGES, NODES, TRAILS
-BOX = (-105.28, 39.91, -105.22, 39.97)
+BOX = (-99.9, -49.99, -97.5, -49.985)
 
 
 def r6(c: Column | str, digits: int = 6) -> Column:
@@ -28,7 +28,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return trails(spark, sf).where((F.col("region") == "EUROPE") & F.col("price").between(1000, 50000)).select("trail_id", "name", "source")
 
 
-@query("src02_box_expansion", f"""WITH {N_} SELECT id, lng, lat FROM nodes WHERE lng BETWEEN -105.28::DOUBLE - 0.01::DOUBLE AND -105.22::DOUBLE + 0.01::DOUBLE AND lat BETWEEN 39.91::DOUBLE - 0.01::DOUBLE AND 39.97::DOUBLE + 0.01::DOUBLE""")
+@query("src02_box_expansion", f"""WITH {N_} SELECT id, lng, lat FROM nodes WHERE lng BETWEEN -99.9::DOUBLE - 0.01::DOUBLE AND -97.5::DOUBLE + 0.01::DOUBLE AND lat BETWEEN -49.99::DOUBLE - 0.01::DOUBLE AND -49.985::DOUBLE + 0.01::DOUBLE""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return in_box(nodes(spark, sf), expand_box(BOX, 0.01), "lng", "lat").select("id", "lng", "lat")
 
@@ -52,14 +52,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 TRI = "list_distinct(list_transform(range(1, length({0}) + 4), lambda i: substr('  ' || lower({0}) || '  ', i::BIGINT, 3)))"
 
 
-@query("src11_cross_source_overlap", f"""WITH p AS (SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey < 300), pairs AS (
-    SELECT a.p_partkey AS id1, b.p_partkey AS id2, {TRI.format('a.p_name')} AS ta, {TRI.format('b.p_name')} AS tb FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey)
+@query("src11_cross_source_overlap", f"""WITH p AS (SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part), pairs AS (
+    SELECT a.p_partkey AS id1, b.p_partkey AS id2, {TRI.format('a.p_name')} AS ta, {TRI.format('b.p_name')} AS tb FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey)
     SELECT id1, id2, round(len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))), 6) AS similarity FROM pairs WHERE len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))) > 0.3
     ORDER BY similarity DESC, id1, id2 LIMIT 100""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
-    a, b = p.select(F.col("p_partkey").alias("id1"), F.col("p_name").alias("n1"), "p_brand"), p.select(F.col("p_partkey").alias("id2"), F.col("p_name").alias("n2"), "p_brand")
-    pairs = a.join(b, "p_brand").where("id1 < id2").withColumn("similarity", trigram_similarity(F.col("n1"), F.col("n2"))).where("similarity > 0.3")
+    block = ["p_brand", "p_type", "p_size"]
+    p = table(spark, sf, "part").select("p_partkey", "p_name", *block)
+    a, b = p.select(F.col("p_partkey").alias("id1"), F.col("p_name").alias("n1"), *block), p.select(F.col("p_partkey").alias("id2"), F.col("p_name").alias("n2"), *block)
+    pairs = a.join(b, block).where("id1 < id2").withColumn("similarity", trigram_similarity(F.col("n1"), F.col("n2"))).where("similarity > 0.3")
     return pairs.select("id1", "id2", r6("similarity").alias("similarity")).orderBy(F.desc("similarity"), "id1", "id2").limit(100)
 
 
@@ -104,9 +105,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return trails(spark, sf).select("trail_id", F.coalesce(F.nullif("name", F.lit("")), F.lit("Unnamed")).alias("name"), F.when(F.col("difficulty") != "P", F.col("difficulty")).alias("difficulty"), F.coalesce(F.when(F.col("price") < 50000, F.col("surface")), F.lit("unknown")).alias("surface"))
 
 
-@query("snk07_routes_by_created", "SELECT o_orderkey AS route_id, CAST(NULL AS BIGINT) AS parent_id, o_totalprice AS score FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 200")
+@query("snk07_routes_by_created", "SELECT o_orderkey AS route_id, CAST(NULL AS BIGINT) AS parent_id, o_totalprice AS score FROM orders ORDER BY o_orderdate DESC, o_orderkey")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    top = table(spark, sf, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(200)
+    top = table(spark, sf, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey")
     return top.select(F.col("o_orderkey").alias("route_id"), F.lit(None).cast("long").alias("parent_id"), F.col("o_totalprice").alias("score"))
 
 
@@ -178,19 +179,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return edges(spark, sf).join(n.select(F.col("id").alias("source"), F.col("lat").alias("source_lat")), "source").join(n.select(F.col("id").alias("target"), F.col("lat").alias("target_lat")), "target").select("id", "source_lat", "target_lat")
 
 
-@query("jn02_left_degree_default", f"WITH {E_}, {N_}, {DEGREES} SELECT n.id, coalesce(degree, 0) AS degree FROM nodes n LEFT JOIN deg ON node = n.id AND degree > 600")
+@query("jn02_left_degree_default", f"WITH {E_}, {N_}, {DEGREES} SELECT n.id, coalesce(degree, 0) AS degree FROM nodes n LEFT JOIN deg ON node = n.id AND degree > 3")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    d = graph.degrees(edges(spark, sf)).where("degree > 600").withColumnRenamed("node", "id")
+    d = graph.degrees(edges(spark, sf)).where("degree > 3").withColumnRenamed("node", "id")
     return nodes(spark, sf).select("id").join(d, "id", "left").select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
 
 
-@query("jn03_full_outer_dead_ends", f"""WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 60), o AS (SELECT source AS node, count(*) AS n_out FROM few GROUP BY 1), i AS (SELECT target AS node, count(*) AS n_in FROM few GROUP BY 1)
+@query("jn03_full_outer_dead_ends", f"""WITH {E_}, o AS (SELECT source AS node, count(*) AS n_out FROM edges GROUP BY 1), i AS (SELECT target AS node, count(*) AS n_in FROM edges GROUP BY 1)
     SELECT coalesce(o.node, i.node) AS node, coalesce(n_in, 0) AS n_in, coalesce(n_out, 0) AS n_out FROM o FULL JOIN i ON o.node = i.node WHERE n_in IS NULL OR n_out IS NULL""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return graph.dead_ends(edges(spark, sf))
 
 
-@query("jn04_incident_edges", f"WITH {E_}, {N_} SELECT n.id AS node, e.id FROM nodes n JOIN edges e ON e.source = n.id OR e.target = n.id")
+@query("jn04_incident_edges", f"WITH {E_}, {N_} SELECT n.id AS node, e.id FROM nodes n JOIN edges e ON e.source = n.id UNION SELECT n.id, e.id FROM nodes n JOIN edges e ON e.target = n.id")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return graph.incident(edges(spark, sf)).join(nodes(spark, sf).select(F.col("id").alias("node")), "node", "left_semi")
 
@@ -201,7 +202,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("trail_id", F.col("id").alias("id1")).join(e.select("trail_id", F.col("id").alias("id2")), "trail_id").where("id1 < id2").select("id1", "id2")
 
 
-@query("jn06_points_within_distance", f"WITH {N_} SELECT a.id AS id1, b.id AS id2, round({hav('a.lng', 'a.lat', 'b.lng', 'b.lat')}, 3) AS metres FROM nodes a JOIN nodes b ON a.id < b.id WHERE {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} <= 3000")
+@query("jn06_points_within_distance", f"WITH {N_} SELECT a.id AS id1, b.id AS id2, round({hav('a.lng', 'a.lat', 'b.lng', 'b.lat')}, 3) AS metres FROM nodes a JOIN nodes b ON {same_tile('a.id', 'b.id')} AND a.id < b.id WHERE {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} <= 3000")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from waymesh.operators.spatial import within_distance
 
@@ -210,7 +211,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return within_distance(a, b, 3000).where("id1 < id2").select("id1", "id2", F.round("metres", 3).alias("metres"))
 
 
-KNN = f"""WITH {N_}, d AS (SELECT a.id AS id1, b.id AS id2, {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} AS metres FROM nodes a JOIN nodes b ON a.id <> b.id), k AS (SELECT *, row_number() OVER (PARTITION BY id1 ORDER BY metres, id2) AS rank FROM d WHERE metres <= 6000)"""
+KNN = f"""WITH {N_}, d AS (SELECT a.id AS id1, b.id AS id2, {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} AS metres FROM nodes a JOIN nodes b ON {same_tile('a.id', 'b.id')} AND a.id <> b.id), k AS (SELECT *, row_number() OVER (PARTITION BY id1 ORDER BY metres, id2) AS rank FROM d WHERE metres <= 6000)"""
 
 
 @query("jn08_k_nearest", KNN + " SELECT id1, id2, rank, round(metres, 3) AS metres FROM k WHERE rank <= 3")
@@ -240,12 +241,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return n.crossJoin(F.broadcast(low)).select("id", r6(F.col("lng") - F.col("x0")).alias("east"), r6(F.col("lat") - F.col("y0")).alias("north"))
 
 
-@query("jn11_unnest_series", "SELECT o_orderkey, k AS step FROM orders, LATERAL (SELECT unnest(range(1, (o_orderkey % 4 + 2)::BIGINT)) AS k) WHERE o_orderkey < 2000")
+@query("jn11_unnest_series", "SELECT o_orderkey, k AS step FROM orders, LATERAL (SELECT unnest(range(1, (o_orderkey % 4 + 2)::BIGINT)) AS k)")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(1).cast("long"), F.col("o_orderkey") % 4 + 1)).alias("step"))
 
 
-@query("jn12_orphan_nodes", f"WITH {E_}, {N_} SELECT id FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.trail_id < 10 AND (e.source = n.id OR e.target = n.id))")
+@query("jn12_orphan_nodes", f"WITH {E_}, {N_} SELECT id FROM nodes n WHERE id NOT IN (SELECT source FROM edges UNION SELECT target FROM edges)")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return graph.orphan_nodes(nodes(spark, sf), edges(spark, sf)).select("id")
 
@@ -269,14 +270,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return c.withColumnRenamed("id", "id1").join(c.withColumnRenamed("id", "id2"), ["cx", "cy"]).where("id1 < id2").select("id1", "id2")
 
 
-@query("jn16_two_hops", f"WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 400) SELECT a.id AS id1, b.id AS id2, round(a.length_km + b.length_km, 6) AS km FROM few a JOIN few b ON a.target = b.source AND a.id <> b.id")
+@query("jn16_two_hops", f"WITH {E_} SELECT a.id AS id1, b.id AS id2, round(a.length_km + b.length_km, 6) AS km FROM edges a JOIN edges b ON a.target = b.source AND a.id <> b.id")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     e = edges(spark, sf)
     a, b = e.select(F.col("id").alias("id1"), F.col("target").alias("mid"), F.col("length_km").alias("k1")), e.select(F.col("id").alias("id2"), F.col("source").alias("mid"), F.col("length_km").alias("k2"))
     return a.join(b, "mid").where("id1 <> id2").select("id1", "id2", r6(F.col("k1") + F.col("k2")).alias("km"))
 
 
-@query("jn17_array_overlap", f"""WITH {E_}, p AS (SELECT trail_id, list_distinct(list(source)) AS path FROM edges WHERE trail_id < 80 GROUP BY trail_id) SELECT a.trail_id AS id1, b.trail_id AS id2 FROM p a JOIN p b ON a.trail_id < b.trail_id AND list_has_any(a.path, b.path)""")
+@query("jn17_array_overlap", f"""WITH {E_}, p AS (SELECT trail_id, list_distinct(list(source)) AS path FROM edges GROUP BY trail_id) SELECT a.trail_id AS id1, b.trail_id AS id2 FROM p a JOIN p b ON {same_tile('a.trail_id', 'b.trail_id', 8)} AND a.trail_id < b.trail_id AND list_has_any(a.path, b.path)""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     p = edges(spark, sf).select("trail_id", "source").distinct()
     return p.select(F.col("trail_id").alias("id1"), "source").join(p.select(F.col("trail_id").alias("id2"), "source"), "source").where("id1 < id2").select("id1", "id2").distinct()
@@ -336,11 +337,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").groupBy(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("prefix")).agg(F.count("*").alias("n"), F.round(F.sum("p_retailprice"), 2).alias("total")).orderBy(F.desc("n"), "prefix").limit(5)
 
 
-@query("agg13_route_composition", f"WITH {E_}, s AS (SELECT trail_id, trail_name, sum(length_km) AS km FROM edges GROUP BY 1, 2), p AS (SELECT trail_id, km * 100 / sum(km) OVER (PARTITION BY trail_id) AS pct FROM s) SELECT trail_id, count(*) AS parts, round(sum(pct), 4) AS total_pct, round(min(pct), 4) AS min_pct, round(max(pct), 4) AS max_pct FROM p GROUP BY 1")
+@query("agg13_route_composition", f"WITH {E_}, s AS (SELECT trail_id, trail_name, sum(length_km::DECIMAL(18, 6)) AS km FROM edges GROUP BY 1, 2), p AS (SELECT trail_id, round(km::DOUBLE * 100 / (sum(km) OVER (PARTITION BY trail_id))::DOUBLE, 9) AS pct FROM s) SELECT trail_id, count(*) AS parts, round(sum(pct::DECIMAL(18, 9))::DOUBLE, 4) AS total_pct, round(min(pct), 4) AS min_pct, round(max(pct), 4) AS max_pct FROM p GROUP BY 1")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    s = edges(spark, sf).groupBy("trail_id", "trail_name").agg(F.sum("length_km").alias("km"))
-    p = s.withColumn("pct", F.col("km") * 100 / F.sum("km").over(Window.partitionBy("trail_id")))
-    return p.groupBy("trail_id").agg(F.count("*").alias("parts"), r6(F.sum("pct"), 4).alias("total_pct"), r6(F.min("pct"), 4).alias("min_pct"), r6(F.max("pct"), 4).alias("max_pct"))
+    s = edges(spark, sf).groupBy("trail_id", "trail_name").agg(F.sum(F.col("length_km").cast("decimal(18,6)")).alias("km"))
+    # sums of decimals don't depend on the order of the rows
+    p = s.withColumn("pct", F.round(F.col("km").cast("double") * 100 / F.sum("km").over(Window.partitionBy("trail_id")).cast("double"), 9))
+    return p.groupBy("trail_id").agg(F.count("*").alias("parts"), r6(F.sum(F.col("pct").cast("decimal(18,9)")).cast("double"), 4).alias("total_pct"), r6(F.min("pct"), 4).alias("min_pct"), r6(F.max("pct"), 4).alias("max_pct"))
 
 
 @query("agg15_distinct_trails_in_route", f"WITH {E_} SELECT source, len(list(DISTINCT trail_name)) AS trail_count FROM edges GROUP BY 1")
@@ -402,7 +404,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return graph.degrees(edges(spark, sf)).orderBy(F.desc("degree"), "node").limit(20)
 
 
-@query("top04_boundary_ends", f"""WITH {E_}, few AS (SELECT * FROM edges WHERE trail_id < 30), {N_}, deg AS (SELECT node, count(DISTINCT id) AS degree FROM (SELECT source AS node, id FROM few UNION ALL SELECT target, id FROM few) GROUP BY node),
+@query("top04_boundary_ends", f"""WITH {E_}, {N_}, {DEGREES},
     b AS (SELECT min(lng) AS x0, max(lng) AS x1, min(lat) AS y0, max(lat) AS y1 FROM nodes) SELECT id, round(least(lng - x0, x1 - lng, lat - y0, y1 - lat), 6) AS margin FROM nodes JOIN deg ON node = id CROSS JOIN b WHERE degree = 1 ORDER BY margin, id LIMIT 50""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from waymesh.operators.routes import boundary_ends
@@ -410,9 +412,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return boundary_ends(nodes(spark, sf), edges(spark, sf), 50)
 
 
-@query("top06_seeded_sample")
+@query("top06_seeded_sample", f"WITH {E_} SELECT id FROM edges ORDER BY md5(id::VARCHAR || ':7'), id LIMIT 100")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return edges(spark, sf).select("id").orderBy(F.xxhash64("id", F.lit(7)), "id").limit(100)
+    return edges(spark, sf).select("id").orderBy(F.md5(F.concat(F.col("id").cast("string"), F.lit(":7")).cast("binary")), "id").limit(100)
 
 
 @query("top07_top_per_group", f"WITH {E_} SELECT trail_name, id, k FROM (SELECT trail_name, id, row_number() OVER (PARTITION BY trail_name ORDER BY length_km DESC, id) AS k FROM edges) WHERE k <= 5")
@@ -437,9 +439,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return edges(spark, sf).select("source", "trail_name").distinct()
 
 
-@query("set04_jaccard", f"""WITH {E_}, p AS (SELECT trail_id, list_distinct(list(trail_name)) AS s FROM edges WHERE trail_id < 150 GROUP BY 1)
-    SELECT a.trail_id AS id1, b.trail_id AS id2, round(len(list_intersect(a.s, b.s))::DOUBLE / len(list_distinct(list_concat(a.s, b.s))), 6) AS jaccard FROM p a JOIN p b ON a.trail_id < b.trail_id WHERE len(list_intersect(a.s, b.s)) > 0 AND len(list_intersect(a.s, b.s))::DOUBLE / len(list_distinct(list_concat(a.s, b.s))) > 0.5""")
+@query("set04_jaccard", f"""WITH {E_}, p AS (SELECT trail_id, list_distinct(list(node)) AS s FROM (SELECT trail_id, source AS node FROM edges UNION ALL SELECT trail_id, target FROM edges) GROUP BY 1)
+    SELECT a.trail_id AS id1, b.trail_id AS id2, round(len(list_intersect(a.s, b.s))::DOUBLE / len(list_distinct(list_concat(a.s, b.s))), 6) AS jaccard FROM p a JOIN p b ON {same_tile('a.trail_id', 'b.trail_id', 8)} AND a.trail_id < b.trail_id WHERE len(list_intersect(a.s, b.s)) > 0 AND len(list_intersect(a.s, b.s))::DOUBLE / len(list_distinct(list_concat(a.s, b.s))) > 0.2""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from waymesh.operators.routes import similar_sets
 
-    return similar_sets(edges(spark, sf).select("trail_id", "trail_name"), "trail_id", "trail_name", 0.5).select("id1", "id2", r6("jaccard").alias("jaccard"))
+    e = edges(spark, sf)
+    visited = e.select("trail_id", F.explode(F.array("source", "target")).alias("node"))
+    return similar_sets(visited, "trail_id", "node", 0.2).select("id1", "id2", r6("jaccard").alias("jaccard"))

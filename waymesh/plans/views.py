@@ -2,18 +2,37 @@
 
 Ids come from the order's key and the line's place in it, so no view numbers its rows
 through one task.
+
+Eight orders share a tile, a stretch of land of some two kilometres with 24 vertices, and no two
+tiles are nearer than ten kilometres (a place is used again after a million tiles). So trails,
+vertices and edges grow with the tables while their density stays as it is on real land:
+what lies within a few kilometres of a trail, and the paths from a vertex, don't multiply with
+the number of orders.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Orders and vertices of a tile.
+PER_TILE, NODES_PER_TILE = 8, 24
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tile_of(key: Column) -> Column:
+    return F.floor(key / PER_TILE)
+
+
+def corner(tile: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of a tile's south-western corner."""
+    return F.lit(-100.0) + tile % 1000 * 0.2, F.lit(-50.0) + F.floor(tile / 1000) % 1000 * 0.1
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return table(spark, sf_dir, "lineitem").withColumn("pt", F.row_number().over(order).cast("long"))
@@ -24,9 +43,10 @@ def trail_points(spark: SparkSession, sf_dir: str, below: int | None = None) ->
     lines = _lines(spark, sf_dir)
     if below is not None:
         lines = lines.where(F.col("l_orderkey") < below)
+    x0, y0 = corner(tile_of(F.col("l_orderkey")))
     return lines.select(
-        F.col("l_orderkey").alias("trail_id"), "pt",
-        (F.lit(-105.3) + F.col("l_partkey") * 1e-4).alias("x"), (F.lit(39.9) + F.col("l_suppkey") * 1e-3).alias("y"), (F.lit(1500.0) + F.col("l_extendedprice") % 1000).alias("z"),
+        F.col("l_orderkey").alias("trail_id"), "pt", (x0 + F.col("l_partkey") % 200 * 1e-4).alias("x"),
+        (y0 + (F.col("l_suppkey") % 20 * 1e-3 + F.col("l_linenumber") * 1e-4)).alias("y"), (F.lit(1500.0) + F.col("l_extendedprice") % 1000).alias("z"),
     )
 
 
@@ -49,44 +69,57 @@ def trails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str, below: int | None = None) -> DataFrame:
-    """(id, source, target, length_km, elevation_gain, elevation_loss, trail_id, trail_name)."""
+    """(id, source, target, length_km, elevation_gain, elevation_loss, trail_id, trail_name): an
+    edge per line item, between two vertices of its tile."""
     lines = _lines(spark, sf_dir)
     if below is not None:
         lines = lines.where(F.col("l_orderkey") < below)
-    count = table(spark, sf_dir, "supplier").agg(F.count("*").alias("n_nodes"))
-    named = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(count))
+    named = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    first = tile_of(F.col("l_orderkey")) * NODES_PER_TILE
     return named.select(
-        (F.col("l_orderkey") * 100 + F.col("pt")).alias("id"), F.col("l_suppkey").alias("source"), (F.col("l_partkey") % F.col("n_nodes")).alias("target"),
+        (F.col("l_orderkey") * 100 + F.col("pt")).alias("id"), (first + (F.col("l_suppkey") + 5 * F.col("l_linenumber") + 3 * F.col("l_orderkey")) % NODES_PER_TILE).alias("source"),
+        (first + (F.col("l_partkey") + F.col("l_linenumber")) % NODES_PER_TILE).alias("target"),
         (F.col("l_quantity") / 10).alias("length_km"), (F.abs("l_discount") * 1000).alias("elevation_gain"), (F.abs("l_tax") * 1000).alias("elevation_loss"),
         F.col("l_orderkey").alias("trail_id"), F.col("p_brand").alias("trail_name"),
     )
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, lng, lat, elevation) per supplier."""
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"), (F.lit(-105.3) + F.col("s_suppkey") * 37 % 100 * 1e-3).alias("lng"), (F.lit(39.9) + F.col("s_suppkey") * 1e-3).alias("lat"), F.abs("s_acctbal").alias("elevation")
-    )
+    """(id, lng, lat, elevation): the vertices of every tile."""
+    tiles = table(spark, sf_dir, "orders").select(tile_of(F.col("o_orderkey")).alias("tile")).distinct()
+    each = tiles.select("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(NODES_PER_TILE - 1).cast("long"))).alias("k"))
+    x0, y0 = corner(F.col("tile"))
+    node = F.col("tile") * NODES_PER_TILE + F.col("k")
+    return each.select(node.alias("id"), (x0 + F.col("k") * 7 % NODES_PER_TILE * 8e-4).alias("lng"), (y0 + F.col("k") * 8e-4).alias("lat"), (F.lit(1500.0) + node * 37 % 1000).alias("elevation"))
 
 
 #: The same in DuckDB.
 POINTS = """trail_points AS (
     SELECT l_orderkey AS trail_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pt,
-        -105.3::DOUBLE + l_partkey * 1e-4 AS x, 39.9::DOUBLE + l_suppkey * 1e-3 AS y, 1500.0::DOUBLE + l_extendedprice % 1000 AS z
+        -100.0::DOUBLE + (l_orderkey // 8) % 1000 * 0.2::DOUBLE + (l_partkey % 200) * 1e-4::DOUBLE AS x,
+        -50.0::DOUBLE + (l_orderkey // 8 // 1000) % 1000 * 0.1::DOUBLE + ((l_suppkey % 20) * 1e-3::DOUBLE + l_linenumber * 1e-4::DOUBLE) AS y, 1500.0::DOUBLE + l_extendedprice % 1000 AS z
     FROM lineitem)"""
 TRAILS = """trails AS (
     SELECT o_orderkey AS trail_id, c_name AS name, r_name AS region, o_orderpriority AS surface, o_orderstatus AS difficulty, n_name AS source, o_totalprice AS price
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 EDGES = """edges AS (
     SELECT l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS id,
-        l_suppkey AS source, l_partkey % (SELECT count(*) FROM supplier) AS target, l_quantity / 10 AS length_km, abs(l_discount) * 1000 AS elevation_gain,
-        abs(l_tax) * 1000 AS elevation_loss, l_orderkey AS trail_id, p_brand AS trail_name
+        l_orderkey // 8 * 24 + (l_suppkey + 5 * l_linenumber + 3 * l_orderkey) % 24 AS source, l_orderkey // 8 * 24 + (l_partkey + l_linenumber) % 24 AS target,
+        l_quantity / 10 AS length_km, abs(l_discount) * 1000 AS elevation_gain, abs(l_tax) * 1000 AS elevation_loss, l_orderkey AS trail_id, p_brand AS trail_name
     FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 NODES = """nodes AS (
-    SELECT s_suppkey AS id, -105.3::DOUBLE + s_suppkey * 37 % 100 * 1e-3 AS lng, 39.9::DOUBLE + s_suppkey * 1e-3 AS lat, abs(s_acctbal) AS elevation FROM supplier)"""
+    SELECT tile * 24 + k AS id, -100.0::DOUBLE + tile % 1000 * 0.2::DOUBLE + (k * 7 % 24) * 8e-4::DOUBLE AS lng, -50.0::DOUBLE + (tile // 1000) % 1000 * 0.1::DOUBLE + k * 8e-4::DOUBLE AS lat,
+        1500.0::DOUBLE + (tile * 24 + k) * 37 % 1000 AS elevation
+    FROM (SELECT DISTINCT o_orderkey // 8 AS tile FROM orders) CROSS JOIN (SELECT unnest(range(24)) AS k))"""
 #: Haversine in metres between (x1, y1) and (x2, y2), degrees.
 HAV = "2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians({y2} - {y1}) / 2), 2) + cos(radians({y1})) * cos(radians({y2})) * pow(sin(radians({x2} - {x1}) / 2), 2))))"
 
 
+def same_tile(a: str, b: str, per: int = NODES_PER_TILE) -> str:
+    """Two ids in one tile: no others are within ten kilometres, or joined by an edge, so
+    comparing these is comparing all."""
+    return f"{a} // {per} = {b} // {per}"
+
+
 def hav(x1: str, y1: str, x2: str, y2: str) -> str:
     return HAV.format(x1=x1, y1=y1, x2=x2, y2=y2)
