@@ -40,12 +40,13 @@ def adaptive_level(found: DataFrame, patterns: DataFrame, quota: int, first: int
     return rows.groupBy("pattern").agg(F.min(enough).alias("r")).select("pattern", "r.tolerance", "r.n")
 
 
-def boundary_ends(nodes: DataFrame, edges: DataFrame, n: int) -> DataFrame:
-    """(id, margin): vertices of degree 1 nearest to the edge of the network's box."""
+def boundary_ends(nodes: DataFrame, edges: DataFrame, n: int | None) -> DataFrame:
+    """(id, margin): the ``n`` vertices of degree 1 nearest to the edge of the network's box, or all."""
     box = nodes.agg(F.min("lng").alias("x0"), F.max("lng").alias("x1"), F.min("lat").alias("y0"), F.max("lat").alias("y1"))
     one = nodes.join(graph.degrees(edges).where("degree = 1").select(F.col("node").alias("id")), "id").crossJoin(F.broadcast(box))
     margin = F.least(F.col("lng") - F.col("x0"), F.col("x1") - F.col("lng"), F.col("lat") - F.col("y0"), F.col("y1") - F.col("lat"))
-    return one.select("id", F.round(margin, 6).alias("margin")).orderBy("margin", "id").limit(n)
+    placed = one.select("id", F.round(margin, 6).alias("margin"))
+    return placed if n is None else placed.orderBy("margin", "id").limit(n)
 
 
 def similar_sets(members: DataFrame, key: str, member: str, least: float) -> DataFrame:
@@ -167,21 +168,74 @@ def lollipops(edges: DataFrame, target_km: float, anchors: int = 20, k: int = 3)
 
 
 def greedy_cover(routes: DataFrame, n: int, key: str = "route_id") -> DataFrame:
-    """(rank, route, new_edges, covered): at each step the route with most edges not yet covered,
-    ties by km and id. ``n`` rounds; each keeps one row of the routes' counts."""
+    """(rank, route, new_edges, covered): the longest route first, then at each step the one with
+    most edges not yet covered; ties by edges, km and id. ``n`` rounds, each of which keeps one
+    row of the routes' counts."""
     from waymesh.plans.durable import checkpointed
 
-    left = checkpointed(routes.select(key, "total_km", F.explode(F.array_distinct("edge_ids")).alias("e")))
+    left = checkpointed(routes.select(key, F.round("total_km", 6).alias("total_km"), F.explode(F.array_distinct("edge_ids")).alias("e")))
     picked, covered = [], 0
     for rank in range(1, n + 1):
-        best = left.groupBy(key, "total_km").agg(F.count("*").alias("new")).orderBy(F.desc("new"), F.desc("total_km"), key).limit(1).collect()
+        order = [F.desc("total_km"), F.desc("new"), key] if rank == 1 else [F.desc("new"), F.desc("total_km"), key]
+        best = left.groupBy(key, "total_km").agg(F.count("*").alias("new")).orderBy(*order).limit(1).collect()
         if not best:
             break
         covered += best[0]["new"]
         picked.append((rank, best[0][key], best[0]["new"], covered))
         taken = left.where(F.col(key) == best[0][key]).select("e")
         left = checkpointed(left.where(F.col(key) != best[0][key]).join(taken, "e", "left_anti"))
-    return routes.sparkSession.createDataFrame(picked, f"rank int, {key} long, new_edges long, covered long")
+    return routes.sparkSession.createDataFrame(picked, f"rank int, {key} {routes.schema[key].dataType.simpleString()}, new_edges long, covered long")
+
+
+def recommend(edges: DataFrame, patterns: DataFrame, tolerance: float, most_km: float, most_gain: float, max_hops: int, per_pattern: int) -> DataFrame:
+    """(pattern, rank, start, end, edge_ids, total_km, total_gain, shape, similarity): the best
+    ``per_pattern`` routes for each row (pattern, target_km, target_gain) of ``patterns``. All
+    patterns share one search; their largest bounds are ``most_km`` and ``most_gain``."""
+    starts = graph.incident(edges).select(F.col("node").alias("id")).distinct()
+    paths = graph.bounded_paths(edges, starts, most_km, most_gain, max_hops)
+    km, gain = F.col("total_km"), F.col("total_gain")
+    met = paths.join(F.broadcast(patterns), scoring.in_band(km, F.col("target_km"), tolerance) & scoring.in_band(gain, F.col("target_gain"), tolerance))
+    met = met.withColumn("similarity", F.round(scoring.similarity_deviation(km, F.col("target_km"), gain, F.col("target_gain")), 6)).withColumn("shape", scoring.shape_of(F.col("path"), F.col("edge_ids")))
+    best = Window.partitionBy("pattern").orderBy(F.desc("similarity"), F.round("total_km", 6), "start", "edge_ids")
+    ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= per_pattern)
+    return ranked.select("pattern", "rank", "start", "end", "edge_ids", "total_km", "total_gain", "shape", "similarity")
+
+
+def route_trails(routes: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
+    """(key, seq, edge_id, trail_id, trail_name, length_km): the rows that store a route's trails."""
+    steps = routes.select(*key, F.posexplode("edge_ids").alias("seq", "id"))
+    return steps.join(edges.select("id", "trail_id", "trail_name", "length_km"), "id").select(*key, (F.col("seq") + 1).alias("seq"), F.col("id").alias("edge_id"), "trail_id", "trail_name", "length_km")
+
+
+def loops_by_return(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(start, goal, path, edge_ids, total_km): out to the goal by a cheapest path and back by a
+    cheapest one that uses none of its edges; pairs without such a way back have no row. A
+    pair is solved in the task that holds its component."""
+    labels = graph.components(edges)
+    placed = edges.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "length_km")
+    asked = pairs.join(labels.withColumnRenamed("node", "start"), "start").select(F.col("component").alias("part"), "start", "goal")
+
+    def solve(network: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        ways, out = _adjacency(network), []
+        for s, g in sorted(set(zip(wanted["start"], wanted["goal"], strict=True))):
+            there = dijkstra(ways, int(s), int(g))
+            back = there and dijkstra(ways, int(g), int(s), banned_edges=frozenset(there[2]))
+            if back:
+                out.append((int(s), int(g), there[1] + back[1][1:], there[2] + back[2], there[0] + back[0]))
+        return pd.DataFrame(out, columns=["start", "goal", "path", "edge_ids", "total_km"])
+
+    return placed.groupBy("component").cogroup(asked.groupBy("part")).applyInPandas(solve, "start long, goal long, path array<long>, edge_ids array<long>, total_km double")
+
+
+def anchor_loops(edges: DataFrame, anchors: int, target_km: float, least_km: float, most_km: float, least_trails: int) -> DataFrame:
+    """``loops_by_return`` from the ``anchors`` vertices of largest degree to all that lie between 0.2
+    and 0.5 of the target away; of the lengths asked for, and over enough trails."""
+    clean = graph.without_loops(edges)
+    starts = graph.degrees(clean).orderBy(F.desc("degree"), "node").limit(anchors).select(F.col("node").alias("id"))
+    reach = graph.shortest_paths(clean, starts, cutoff=0.5 * target_km).where(F.col("cost") >= 0.2 * target_km)
+    found = loops_by_return(clean, reach.select("start", F.col("node").alias("goal"))).where(F.col("total_km").between(least_km, most_km))
+    trails = found.select("start", "goal", F.explode("edge_ids").alias("id")).join(clean.select("id", "trail_id"), "id").groupBy("start", "goal").agg(F.count_distinct("trail_id").alias("n_trails"))
+    return found.join(trails.where(F.col("n_trails") >= least_trails), ["start", "goal"])
 
 
 def bridges(edges: DataFrame) -> DataFrame:

@@ -425,11 +425,6 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return edges(spark, sf).select(F.col("id").alias("gid"), "source", "target", r("length_km").alias("cost"), r("length_km").alias("reverse_cost"))
 
 
-@query("net20_bridges_articulations")
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.bridges(graph.without_loops(edges(spark, sf)))
-
-
 # ---- routes
 
 def _small(spark: SparkSession, sf: str, below: int | None = None) -> DataFrame:
@@ -587,10 +582,27 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return c.select(F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",").alias("edge_list"), r("total_km").alias("total_km"), "hops")
 
 
+#: Routes of one search, named by a hash of their start and edges.
+FOUND = WALKS.format(hops=6, km="8.0 * 1.1", gain="200.0 * 1.1") + """, found AS (SELECT md5(start || ':' || array_to_string(used, ',')) AS route_id, used, round(km, 6) AS km, round(greatest(0.0::DOUBLE, 1 - (abs(km - 8.0) / 8.0 + abs(gain - 200.0) / 200.0) / 2), 6) AS similarity
+    FROM walk WHERE hops > 0 AND km BETWEEN 8.0 * 0.9 AND 8.0 * 1.1 AND gain BETWEEN 200.0 * 0.9 AND 200.0 * 1.1), m AS (SELECT route_id, unnest(list_distinct(used)) AS e FROM found)"""
+
+
 def _found(spark: SparkSession, sf: str) -> DataFrame:
     e = _small(spark, sf)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
-    return routes.search(e, starts, 8.0, 200.0, 20.0, 6).withColumn("route_id", F.abs(F.xxhash64("start", "edge_ids")))
+    name = F.md5(F.concat(F.col("start").cast("string"), F.lit(":"), F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",")).cast("binary"))
+    return routes.search(e, starts, 8.0, 200.0, 10.0, 6).withColumn("route_id", name).withColumn("similarity", r("similarity"))
+
+
+def greedy_sql(n: int) -> str:
+    """``n`` rounds of the greedy cover, one after the other."""
+    steps, taken = [], "SELECT NULL::BIGINT AS e WHERE false"
+    for k in range(1, n + 1):
+        order = "km DESC, new DESC, route_id" if k == 1 else "new DESC, km DESC, route_id"
+        steps.append(f"g{k} AS (SELECT route_id, count(*) AS new FROM m JOIN found USING (route_id) WHERE e NOT IN (SELECT e FROM ({taken})) GROUP BY route_id, km ORDER BY {order} LIMIT 1)")
+        taken = " UNION ".join(f"SELECT e FROM m JOIN g{j} USING (route_id)" for j in range(1, k + 1))
+    rows = " UNION ALL ".join(f"SELECT {k} AS rank, route_id, new FROM g{k}" for k in range(1, n + 1))
+    return f"{', '.join(steps)} SELECT rank, route_id, new AS new_edges, sum(new) OVER (ORDER BY rank)::BIGINT AS covered FROM ({rows})"
 
 
 @query("rt25_lollipops")
@@ -598,14 +610,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return routes.lollipops(_small(spark, sf), 8.0, 5, 3).select("anchor", "goal", r("total_km").alias("total_km"), "overlap", F.size("edge_ids").alias("n_edges"))
 
 
-@query("rt27_greedy_cover")
+@query("rt27_greedy_cover", f"WITH RECURSIVE {E_}, {FEW}, {FOUND}, {greedy_sql(5)}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return routes.greedy_cover(_found(spark, sf), 5)
 
 
-@query("rt28_rt36_without_similar")
+@query("rt28_rt36_without_similar", f"""WITH RECURSIVE {E_}, {FEW}, {FOUND}, i AS (SELECT route_id, similarity, len(list_distinct(used)) AS n FROM found), s AS (SELECT a.route_id AS id1, b.route_id AS id2, count(*) AS both_ FROM m a JOIN m b ON a.e = b.e AND a.route_id <> b.route_id GROUP BY 1, 2),
+    worse AS (SELECT DISTINCT id1 FROM s JOIN i a ON a.route_id = id1 JOIN i b ON b.route_id = id2 WHERE both_ * 100 >= greatest(a.n, b.n) * 60.0 AND (b.similarity > a.similarity OR (b.similarity = a.similarity AND id2 < id1))) SELECT route_id, similarity FROM i WHERE route_id NOT IN (SELECT id1 FROM worse)""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.without_similar(_found(spark, sf), "route_id", "edge_ids", "similarity", 60.0).select("route_id", r("similarity").alias("similarity"))
+    return routes.without_similar(_found(spark, sf), "route_id", "edge_ids", "similarity", 60.0).select("route_id", "similarity")
 
 
 @query("rt30_out_and_back", f"WITH {ROUTES} SELECT route_id, round(km * 2, 6) AS total_km, round(gain + loss, 4) AS total_gain, n * 2 AS n_edges FROM rts")
