@@ -244,6 +244,28 @@ def azimuth(p: Column, q: Column) -> Column:
     return F.pmod(F.degrees(F.atan2((q["x"] - p["x"]) * k, q["y"] - p["y"])) + 360.0, F.lit(360.0))
 
 
+def area_m2(ring: Column | str) -> Column:
+    """Area of the polygon with these corners, closed or not, on the plane around the first."""
+    c = col(ring)
+    k = F.cos(F.radians(F.get(c, F.lit(0))["y"])) * METRES_PER_DEGREE * METRES_PER_DEGREE
+    origin = F.get(c, F.lit(0))
+    turn = lambda p, i: (p["x"] - origin["x"]) * (F.get(c, (i + 1) % F.size(c))["y"] - origin["y"]) - (F.get(c, (i + 1) % F.size(c))["x"] - origin["x"]) * (p["y"] - origin["y"])
+    return F.abs(total(F.transform(c, turn))) / 2 * k
+
+
+def outside_box(line: Column | str, box: Column) -> Column:
+    """The points of a line that a box (an ``envelope``) doesn't hold."""
+    return F.filter(col(line), lambda p: (p["x"] < box["min_lng"]) | (p["x"] > box["max_lng"]) | (p["y"] < box["min_lat"]) | (p["y"] > box["max_lat"]))
+
+
+def central_quarter(box: Column) -> Column:
+    """The box of a quarter of the width and height around the middle; null for a box that is empty
+    or turned over."""
+    w, h = box["max_lng"] - box["min_lng"], box["max_lat"] - box["min_lat"]
+    made = F.struct((box["min_lng"] + w * 0.375).alias("min_lng"), (box["min_lng"] + w * 0.625).alias("max_lng"), (box["min_lat"] + h * 0.375).alias("min_lat"), (box["min_lat"] + h * 0.625).alias("max_lat"))
+    return F.when((w > 0) & (h > 0), made)
+
+
 def translate(line: Column | str, dx: float, dy: float) -> Column:
     return F.transform(col(line), lambda p: point(p["x"] + dx, p["y"] + dy, p["z"]))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -329,3 +331,17 @@ def network_from_lines(lines: DataFrame, degrees: float = 0.000045, key: str = "
     edges = edges.where("source <> target").select("id", "source", "target", "length_km", F.col("e.gain").alias("elevation_gain"), F.col("e.loss").alias("elevation_loss"), line)
     nodes = grid_nodes(lines, degrees, key, line).select(F.xxhash64("gx", "gy").alias("id"), F.col("x").alias("lng"), F.col("y").alias("lat"), "uses")
     return nodes, edges
+
+
+def cleaned(lines: DataFrame, steps: list[tuple[str, Callable[[DataFrame], DataFrame]]], line: str = "coords") -> tuple[DataFrame, DataFrame]:
+    """The lines after all steps, each of them written before the next, and a report (seq, step,
+    lines_before, lines_after, km_before, km_after)."""
+    state = lambda d: tuple(d.agg(F.count("*"), F.round(F.coalesce(F.sum(geo.length_m(line)), F.lit(0.0)) / 1000, 3)).first())
+    now, rows = lines, []
+    before = state(now)
+    for k, (name, step) in enumerate(steps):
+        now = checkpointed(step(now))
+        after = state(now)
+        rows.append((k + 1, name, before[0], after[0], before[1], after[1]))
+        before = after
+    return now, lines.sparkSession.createDataFrame(rows, "seq int, step string, lines_before long, lines_after long, km_before double, km_after double")

@@ -86,3 +86,52 @@ def part_of(key: Column) -> Column:
     """train, val or test (7, 2 and 1 of 10) by a hash of the key."""
     h = F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 7), 16, 10).cast("long") % 10
     return F.when(h < 7, "train").when(h < 9, "val").otherwise("test")
+
+
+def is_uuid(text: Column) -> Column:
+    """A UUID of versions 1 to 5 and the usual variant."""
+    return F.lower(text).rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+
+
+def dimensions(points: DataFrame) -> DataFrame:
+    """Counts over points (x, y, z): without elevation, outside the globe, not numbers, all."""
+    x, y = F.col("x"), F.col("y")
+    return points.agg(F.count_if(F.col("z").isNull()).alias("flat"), F.count_if(~x.between(-180, 180) | ~y.between(-90, 90)).alias("outside"), F.count_if(F.isnan(x) | F.isnan(y)).alias("not_numbers"), F.count("*").alias("points"))
+
+
+def issues(df: DataFrame, key: str, found: dict[str, Column]) -> DataFrame:
+    """(issue, key): a row for each issue that a row of ``df`` has, in one pass."""
+    each = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in found.items()])
+    return df.select(F.explode(F.array_compact(each)).alias("issue"), key)
+
+
+def distributions(df: DataFrame, columns: list[str], unique: list[str]) -> DataFrame:
+    """(what, value, n): counts by the values of each column, and how many combinations of
+    ``unique`` occur more than once."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("what"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = df.select(F.explode(pairs).alias("p")).groupBy("p.what", "p.value").agg(F.count("*").alias("n"))
+    twice = df.groupBy(*unique).count().where("count > 1").agg(F.count("*").alias("n"))
+    return counts.unionByName(twice.select(F.lit("duplicate").alias("what"), F.lit(unique[0]).alias("value"), "n"))
+
+
+def schema_diff(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """(name, expected, found, status): 'same', 'changed', 'missing' or 'extra' for each column."""
+    found = dict(df.dtypes)
+    rows = [(n, t, found.get(n), "missing" if n not in found else "same" if found[n] == t else "changed") for n, t in expected.items()]
+    rows += [(n, None, t, "extra") for n, t in found.items() if n not in expected]
+    return df.sparkSession.createDataFrame(rows, "name string, expected string, found string, status string")
+
+
+def routing_graph(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(rule, failed): what keeps a network from being routed over."""
+    clean = graph.without_loops(edges)
+    parallel = clean.groupBy(F.least("source", "target"), F.greatest("source", "target")).count().where("count > 1")
+    parts = {
+        "orphan_nodes": graph.orphan_nodes(nodes, edges), "unknown_ends": graph.orphan_edges(nodes, edges), "loops": edges.where("source = target"),
+        "parallel": parallel, "no_length": edges.where(~F.coalesce(F.col("length_km") > 0, F.lit(False))),
+    }
+    made = [d.agg(F.count("*").alias("failed")).select(F.lit(name).alias("rule"), "failed") for name, d in parts.items()]
+    whole = made[0]
+    for one in made[1:]:
+        whole = whole.unionByName(one)
+    return whole
