@@ -54,12 +54,12 @@ def measured_segments(lines: DataFrame, key: str = "trail_id", line: str = "coor
     return s.select(key, "seg", F.coalesce(F.sum("len_m").over(along), F.lit(0.0)).alias("from_m"), "len_m", F.sum("len_m").over(Window.partitionBy(key)).alias("total_m"))
 
 
-def cuts(lines: DataFrame, points: DataFrame, key: str = "trail_id", line: str = "coords", least: float = 0.0015) -> DataFrame:
+def cuts(lines: DataFrame, points: DataFrame, key: str = "trail_id", line: str = "coords", least: float = 0.0015, least_m: float = 0.0) -> DataFrame:
     """(key, r, p): where each line is to be cut, as a share of its length, and the point
-    there; points at one share, to nine places, are one, and those within ``least`` of an end
-    are none."""
+    there; points at one share, to nine places, are one, and those within ``least`` (of the
+    length) or ``least_m`` of an end are none."""
     placed = points.join(measured_segments(lines, key, line), [key, "seg"]).withColumn("r", (F.col("from_m") + F.col("t") * F.col("len_m")) / F.col("total_m"))
-    inner = placed.where(F.col("r").between(least, 1 - least))
+    inner = placed.where(F.col("r").between(least, 1 - least) & (F.col("r") * F.col("total_m") >= least_m) & ((1 - F.col("r")) * F.col("total_m") >= least_m))
     return inner.groupBy(key, F.round("r", 9).alias("r")).agg(F.min(F.struct("x", "y", "z")).alias("p"))
 
 
@@ -116,13 +116,14 @@ def split_at_points(lines: DataFrame, points: DataFrame, metres: float, key: str
 
 def split_until_stable(lines: DataFrame, metres: float, rounds: int = 10, key: str = "trail_id", line: str = "coords") -> DataFrame:
     """(id, root, coords): ends moved onto a line within ``metres``, and that line cut there, round
-    after round until nothing is cut (``rounds`` at most, the surveyed limit). ``root`` is the key
-    of the line that a part comes from."""
+    after round until nothing is cut (``rounds`` at most, the surveyed limit). Cuts leave no part
+    shorter than ``metres``, so the number of parts is bounded by the length. ``root`` is the
+    key of the line that a part comes from."""
     now = checkpointed(lines.select(F.col(key).cast("string").alias("id"), F.col(key).alias("root"), F.col(line).alias("coords")))
     for _ in range(rounds):
         moved = checkpointed(snap_ends(now, metres, "id", "coords"))
         touches = spatial.ends_on_lines(moved, metres, "id", "coords")
-        found = checkpointed(cuts(moved, touching_points(touches, "id"), "id", "coords"))
+        found = checkpointed(cuts(moved, touching_points(touches, "id"), "id", "coords", least_m=metres))
         if found.isEmpty():
             return moved
         parts = split(moved, found, "id", "coords").withColumn("many", F.count("*").over(Window.partitionBy("parent")) > 1)

@@ -2,7 +2,7 @@
 
 A cell is a latitude band and a column whose width follows the band, so a distance in metres
 never spans more than one neighbour. A pair of points meets in one cell only, so nothing has
-to be made distinct afterwards. Longitudes don't wrap; latitudes stay below 89 degrees.
+to be made distinct afterwards. Crowded cells are dealt out to several tasks. Longitudes don't wrap; latitudes stay below 89 degrees.
 """
 
 from __future__ import annotations
@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymesh.functions import geo
+from waymesh.plans.durable import checkpointed
+
+#: Rows of a cell from which on it is dealt out, and crowded cells that are broadcast at most.
+CROWDED, BROADCAST_CELLS = 4096, 100_000
 
 
 def _band(y: Column, size: float) -> Column:
@@ -36,13 +40,27 @@ def in_cells(df: DataFrame, x: Column, y: Column, metres: float, around: bool) -
     return df.withColumn("_band", _band(y, size)).withColumn("_column", F.floor(x / _width(F.col("_band"), size)))
 
 
+def cell_join(left: DataFrame, right: DataFrame, cells: list[str]) -> DataFrame:
+    """Inner join on ``cells``. A cell with over ``CROWDED`` rows of ``right`` is dealt out: each of
+    its left rows goes to one of several tasks and its right rows to all of them."""
+    counts = right.groupBy(*cells).count().where(F.col("count") > CROWDED)
+    crowded = checkpointed(counts.select(*cells, F.ceil(F.col("count") / CROWDED).cast("int").alias("_ways")))
+    n = crowded.count()
+    if not n:
+        return left.join(right, cells)
+    crowded = F.broadcast(crowded) if n <= BROADCAST_CELLS else crowded
+    one = left.join(crowded, cells, "left").withColumn("_way", F.pmod(F.xxhash64(*left.columns), F.coalesce("_ways", F.lit(1))).cast("int")).drop("_ways")
+    two = right.join(crowded, cells, "left").withColumn("_way", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1))).drop("_ways")
+    return one.join(two, [*cells, "_way"]).drop("_way")
+
+
 def within_distance(left: DataFrame, right: DataFrame, metres: float, lx: str = "x", ly: str = "y", rx: str = "x2", ry: str = "y2") -> DataFrame:
     """All pairs of points at most ``metres`` apart, with ``metres`` as a column. The smaller
     side should be ``left``: it is listed under nine cells."""
     a = in_cells(left, F.col(lx), F.col(ly), metres, True)
     b = in_cells(right, F.col(rx), F.col(ry), metres, False)
     far = geo.haversine(F.col(lx), F.col(ly), F.col(rx), F.col(ry))
-    return a.join(b, ["_band", "_column"]).withColumn("metres", far).where(F.col("metres") <= metres).drop("_band", "_column")
+    return cell_join(a, b, ["_band", "_column"]).withColumn("metres", far).where(F.col("metres") <= metres).drop("_band", "_column")
 
 
 def nearest(left: DataFrame, right: DataFrame, metres: float, left_id: str, right_id: str, k: int = 1, **xy: str) -> DataFrame:
@@ -78,7 +96,7 @@ def crossings(lines: DataFrame, key: str = "trail_id", line: str = "coords", siz
     s = covering(segment_rows(lines, key, line), size)
     one = s.select(F.col(key).alias("id1"), F.col("seg").alias("seg1"), F.col("a").alias("a1"), F.col("b").alias("b1"), "gx", "gy")
     two = s.select(F.col(key).alias("id2"), F.col("seg").alias("seg2"), F.col("a").alias("a2"), F.col("b").alias("b2"), "gx", "gy")
-    met = one.join(two, ["gx", "gy"]).where("id1 < id2").where(geo.proper_crossing(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2")))
+    met = cell_join(one, two, ["gx", "gy"]).where("id1 < id2").where(geo.proper_crossing(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2")))
     met = met.withColumn("ratio", geo.crossing_ratio(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2"))).withColumn("p", geo.between(F.col("a1"), F.col("b1"), F.col("ratio")))
     met = met.where((F.floor(F.col("p.x") / size) == F.col("gx")) & (F.floor(F.col("p.y") / size) == F.col("gy")))
     return met.select("id1", "id2", "seg1", "seg2", "p.x", "p.y", "p.z", "ratio", geo.crossing_ratio(F.col("a2"), F.col("b2"), F.col("a1"), F.col("b1")).alias("ratio2"))
@@ -90,7 +108,7 @@ def points_on_lines(points: DataFrame, lines: DataFrame, metres: float, visitor:
     margin = metres / geo.METRES_PER_DEGREE * 2.5  # enough for longitudes up to 66 degrees north
     s = covering(segment_rows(lines, key, line), size, margin).select(F.col(key).alias("visited"), "seg", "a", "b", "gx", "gy")
     e = points.select(*visitor, geo.point(F.col("x"), F.col("y"), F.col("z")).alias("p"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
-    met = e.join(s, ["gx", "gy"]).withColumn("t", geo.nearest_ratio(F.col("p"), F.col("a"), F.col("b")))
+    met = cell_join(e, s, ["gx", "gy"]).withColumn("t", geo.nearest_ratio(F.col("p"), F.col("a"), F.col("b")))
     met = met.withColumn("q", geo.between(F.col("a"), F.col("b"), F.col("t"))).withColumn("metres", geo.distance(F.col("p"), F.col("q"))).where(F.col("metres") <= metres)
     best = met.groupBy(*visitor, "visited").agg(F.min(F.struct("metres", F.col("q.x").alias("x"), F.col("q.y").alias("y"), F.col("q.z").alias("z"), "seg", "t")).alias("m"))
     return best.select(*visitor, "visited", "m.*")

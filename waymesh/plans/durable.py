@@ -1,11 +1,13 @@
 """Intermediate results that outlive the executors that made them.
 
-Everything goes to the folder the cluster names in ``spark.checkpoint.dir``. Only where
-that setting is absent (tests, a laptop) a folder of our own is used.
+Everything goes to the folder the cluster names in ``spark.checkpoint.dir``. Only on a local
+master without that setting (tests, a laptop) a folder of our own is used; a cluster without it
+is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,6 +19,8 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not named and not re.match(r"local(\[|$)", context.master):  # not local-cluster
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="waymesh-"))
     return named or context.getCheckpointDir()
 

@@ -25,3 +25,16 @@ def unique_join(rows: DataFrame, unique: DataFrame, key: str, uses: str) -> Data
         return rows.join(unique.select(columns), key)
     few = F.broadcast(common)
     return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(others, key))
+
+
+def counted_left_join(rows: DataFrame, unique: DataFrame, key: str) -> DataFrame:
+    """The left join of ``rows`` with ``unique``, which has one row a key, where nobody has counted the
+    keys yet: that is one more aggregation of the keys. Fewer than a thousand common keys reach
+    the driver; their rows meet a broadcast, the others are shuffled."""
+    total = rows.count()
+    bound = max(LEAST_ROWS, int(total * SHARE))
+    found = rows.groupBy(key).count().where(F.col("count") > bound).select(key).collect() if total > LEAST_ROWS else []
+    if not found:
+        return rows.join(unique, key, "left")
+    common = F.col(key).isin([bytes(r[0]) if isinstance(r[0], bytearray) else r[0] for r in found])
+    return rows.where(common).join(F.broadcast(unique.where(common)), key, "left").unionByName(rows.where(~common).join(unique, key, "left"))
