@@ -32,7 +32,7 @@ _PLAIN = re.compile("[\t\n\r ]*[!-~\u00c0-\u024f]*")
 #: The split that byte-level vocabularies of this kind are made with.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Chunks whose ids are kept in a generation, of which there are two, and the longest that is.
-CACHED_CHUNKS, LONGEST_CACHED = 150_000, 64
+CACHED_CHUNKS, LONGEST_CACHED = 250_000, 64
 #: What a vocabulary file must say for its texts to be encoded chunk by chunk.
 _PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 _MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False, "ignore_merges": False}

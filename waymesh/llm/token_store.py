@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from waymesh.llm.encoding import encoder
 from waymesh.plans.durable import checkpointed, remove, table_path
-from waymesh.plans.hot import unique_join
+from waymesh.plans.hot import counted_left_join
 from waymesh.plans.prefix import running_totals
 
 END_ID = 2
@@ -217,9 +217,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     entries = recipes.select("doc_id", "start", "n_tokens", F.explode(pieces).alias("e")).select("doc_id", "start", "n_tokens", "e.hash", (F.col("e.end") - F.col("e.begin")).alias("n"), ((F.col("n_tokens") - F.col("e.end")) * 4).alias("after"))
     known = checkpointed(checked_chunks(spark.read.parquet(f"{path}/chunks")).withColumnRenamed("n", "n_"))
     # the few chunks that very many documents have (the end id alone) are broadcast
-    uses = entries.groupBy("hash").agg(F.count("*").alias("uses"))
-    needed = checkpointed(uses.join(known, "hash", "left"))
-    joined = unique_join(entries, needed, "hash", "uses")
+    joined = counted_left_join(entries, known, "hash")
     fits = F.when(F.col("n_") == F.col("n"), F.col("crc")).otherwise(F.raise_error(F.concat(F.lit("a chunk is missing or of another length at "), F.col("start").cast("string"))).cast("long"))
     parts = joined.select("doc_id", "start", "n_tokens", "n", moved_crc(fits, F.col("after")).alias("crc"))
     whole = parts.groupBy("start", "doc_id", "n_tokens").agg(F.bit_xor("crc").alias("ids_crc32"), F.sum("n").alias("n"))
