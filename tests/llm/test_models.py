@@ -76,3 +76,38 @@ def test_toxicity_awkward_texts(spark):
     ones = spark.createDataFrame([(k, 1) for k in range(16)], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.op5_toxicity(docs, ones).collect()} == {1.0}
     assert toxicity.op5_toxicity(documents(spark, []), empty).count() == 0
+
+
+def test_decoding_is_the_nearest_codeword(spark):
+    """The language of each text by plain loops over codewords, bits and features."""
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(langid.learned_part(docs))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.op9_language_id(docs).collect()}
+    for r in docs.limit(60).collect():
+        x = langid.features(r["text"])
+        if x is None:
+            assert got[r["doc_id"]] == ("und", 0.0)
+            continue
+        losses = []
+        for word in model.code:
+            margins = [sum(float(a) * float(w) for a, w in zip(x, model.weights[:, b]) if a) + float(model.bias[b]) for b in range(len(word))]
+            losses.append(sum(math.log1p(math.exp(-float(s) * m)) * float(t) for s, m, t in zip(word, margins, model.bit_weight)))
+        best = min(range(len(losses)), key=lambda k: losses[k])
+        share = 1 / sum(math.exp(losses[best] - v) for v in losses)
+        assert got[r["doc_id"]][0] == model.languages[best] and abs(got[r["doc_id"]][1] - share) < 1e-3
+
+
+def test_toxicity_score_and_spans_are_those_of_the_sentences(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(toxicity.learned_part(docs, labels))
+    got = {r["doc_id"]: r for r in toxicity.op5_toxicity(docs, labels).collect()}
+    for r in docs.collect():
+        each = [(a, b, model.sentence((r["text"] or "")[a:b])) for a, b in toxicity.sentences(r["text"])]
+        score = 1 - np.prod([1 - p for *_, p in each])
+        said = got[r["doc_id"]]
+        assert abs(said["score"] - score) < 1e-9
+        want = [x for x in each if x[2] >= 0.5] or [max(each, key=lambda x: (x[2], -x[0]))]
+        assert said["offending"] == (",".join(f"{a}:{b}" for a, b, _ in want) if said["predicted"] else "")
+    assert any(r["predicted"] for r in got.values())

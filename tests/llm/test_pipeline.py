@@ -1,6 +1,7 @@
 """The pipeline against its stages' own rules, on the small tables."""
 
 import re
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tests.llm.fixtures import documents
 from tests.llm.test_secret_scan import ASSIGN
 from tests.llm.test_simhash import brute_components, brute_print
 from waymesh.plans.durable import written
@@ -74,3 +76,49 @@ def test_near_duplicates_and_secrets_match_plain_python(spark):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.secrets(spark, kept, SF).collect()}
     assert {d: t for d, (t, _) in got.items()} == masked
     assert all(n == len(t) for d, (t, n) in got.items() if t != want[d]) and any(t != want[d] for d, t in masked.items())
+
+
+def packed_ids(made):
+    return sorted({r["doc_id"] for r in made}, key=str)
+
+
+def test_awkward_tables(spark, tmp_path):
+    """Null ids and texts, repeated rows, ties, a very long text, extra columns with clashing names, and
+    no rows at all; with too few labels nothing is rejected as toxic."""
+    docs = documents(spark).selectExpr("*", "length(text) AS n_chars", "'mine' AS fingerprint", "1 AS redactions", "'h' AS text_hash", "5 AS part")
+    for name, rows in (("some", docs), ("none", docs.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    sf = f"{tmp_path}/some"
+    now = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = written(stage(spark, now, sf), "awkward")
+        assert after.columns == docs.columns, name
+        now = after
+    ids = [r["doc_id"] for r in now.collect()]
+    assert len(ids) == len(set(ids)) and 0 not in ids and 1 not in ids and 5 in ids and 8 in ids  # null and empty go, the long one stays
+    made = corpus_pipeline.run(spark, sf).collect()
+    assert packed_ids(made) == sorted(set(ids), key=str)
+    assert all(sum(r["length"] for r in made if r["doc_id"] == d) == next(r["doc_tokens"] for r in made if r["doc_id"] == d) for d in ids if d is not None)
+
+
+def test_language_and_toxicity_stages_follow_their_scores(spark):
+    from waymesh.llm import langid, toxicity
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = langid.fit(langid.learned_part(docs))
+    said = {d: langid.features(t) for d, t in rows.items()}
+    want = set()
+    for d, x in said.items():
+        if x is not None:
+            ambiguous = model.decode(x)[2]
+            if not ambiguous or sum(unicodedata.category(c).startswith("L") for c in rows[d]) < 200:
+                want.add(d)
+    kept = corpus_pipeline.language(spark, docs, SF)
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want
+    toxic = toxicity.fit(toxicity.learned_part(kept, labels))
+    calm = {d for d in want if 1 - np.prod([1 - toxic.sentence(rows[d][a:b]) for a, b in toxicity.sentences(rows[d])]) < 0.7}
+    assert {r["doc_id"] for r in corpus_pipeline.without_toxic(spark, kept, SF).select("doc_id").collect()} == calm and calm != want
