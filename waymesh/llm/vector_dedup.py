@@ -11,7 +11,8 @@ of them are verified by the cosine in double precision.
 A projection on a Gaussian line has the standard normal distribution for any unit vector,
 and that of a pair depends on its angle only. So the share of pairs at exactly the least
 cosine that reach a count is found by simulation, whatever the data: ``calibrated`` takes
-the largest count that keeps ``recall`` of them. Closer pairs do better.
+the largest count that keeps ``recall`` of them, and takes more ends where that count would be
+under ``LEAST_COUNT``. Closer pairs do better.
 
 Before a collision is counted, an 8-bit copy of both vectors, with a bound of its error,
 rules out pairs that can't reach the cosine; without that every list would send all of its
@@ -48,7 +49,9 @@ from waymesh.plans.hot import unique_join
 #: Vectors that a list should hold; vectors of a block that are compared at once.
 IN_LIST, BLOCK = 48, 1024
 #: Half the width of a window, in standard deviations of a projection.
-WINDOW = 1.6
+WINDOW = 1.0
+#: Collisions that a pair needs at least, whatever the size of the table: one alone proves little.
+LEAST_COUNT = 2
 
 
 @dataclass(frozen=True)
@@ -75,7 +78,7 @@ def calibrated(vectors: int, cosine: float, recall: float = 0.98, seed: int = 7,
             near = np.abs(np.take_along_axis(x, a % lines, 1) - np.take_along_axis(y, a % lines, 1)) <= WINDOW
             shared.append(((a[:, :, None] == b[:, None, :]).any(2) & near).sum(1))
         counts = np.array([math.comb(int(s), together) for s in np.concatenate(shared)])
-        good = [c for c in range(1, 7) if (counts >= c).mean() >= recall]
+        good = [c for c in range(LEAST_COUNT, 7) if (counts >= c).mean() >= recall]
         if good:
             return Plan(lines, ends, together, good[-1], float((counts >= good[-1]).mean()))
         ends += 2
