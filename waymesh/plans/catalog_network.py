@@ -242,7 +242,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("l106_split_until_stable")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.split_until_stable(lines3d(spark, sf), 10.0).select("id", "root", r(geo.length_m("coords"), 2).alias("length_m"))
+    return lines.split_until_stable(lines3d(spark, sf), 10.0, 3).select("id", "root", r(geo.length_m("coords"), 2).alias("length_m"))
 
 
 @query("l132_geometry_ledger", f"WITH {P_}, {STEPS}, {SEGS}, {CROSS}, {parts_sql(BOTH)} SELECT parent AS trail_id, CASE WHEN count(*) > 1 THEN 'split' ELSE 'kept' END AS change, count(*) AS n_parts FROM parts GROUP BY 1")
@@ -427,8 +427,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- routes
 
-def _small(spark: SparkSession, sf: str, below: int | None = None) -> DataFrame:
-    return graph.without_loops(edges(spark, sf, below))
+def _small(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.without_loops(edges(spark, sf))
 
 
 WALKS = """w AS (SELECT source AS src, target AS dst, id, length_km AS km, elevation_gain AS gain FROM few UNION ALL SELECT target, source, id, length_km, elevation_gain FROM few), starts AS (SELECT DISTINCT src AS id FROM w),
@@ -440,8 +440,8 @@ SEARCH = WALKS.format(hops=6, km="8.0 * 1.2", gain="200.0 * 1.2")
 
 @query("rt01_bounded_path_search", f"""WITH RECURSIVE {E_}, {FEW}, {SEARCH} SELECT start, last AS "end", array_to_string(used, ',') AS edge_list, round(km, 6) AS total_km, round(gain, 4) AS total_gain, hops,
     CASE WHEN closed THEN 'loop' ELSE 'point-to-point' END AS shape, round(greatest(0.0::DOUBLE, 1 - (abs(km - 8.0) / 8.0 + abs(gain - 200.0) / 200.0) / 2), 6) AS similarity FROM walk WHERE hops > 0 AND km BETWEEN 8.0 * 0.8 AND 8.0 * 1.2 AND gain BETWEEN 200.0 * 0.8 AND 200.0 * 1.2""")
-def rt01(spark: SparkSession, sf: str, below: int | None = None) -> DataFrame:
-    e = _small(spark, sf, below)
+def rt01(spark: SparkSession, sf: str) -> DataFrame:
+    e = _small(spark, sf)
     starts = graph.incident(e).select(F.col("node").alias("id")).distinct()
     found = routes.search(e, starts, 8.0, 200.0, 20.0, 6)
     return found.select("start", "end", F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",").alias("edge_list"), r("total_km").alias("total_km"), r("total_gain", 4).alias("total_gain"), "hops", "shape", r("similarity").alias("similarity"))

@@ -39,8 +39,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bounded path search over the edges of a few orders: the smallest table has few
-    nodes with many edges each."""
+    """The bounded path search over all edges."""
     from waymesh.plans.catalog_network import rt01
 
-    return rt01(spark, sf_dir, below=8)
+    return rt01(spark, sf_dir)

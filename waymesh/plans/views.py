@@ -38,11 +38,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("pt", F.row_number().over(order).cast("long"))
 
 
-def trail_points(spark: SparkSession, sf_dir: str, below: int | None = None) -> DataFrame:
+def trail_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(trail_id, pt, x, y, z): the vertices of a trail per order."""
     lines = _lines(spark, sf_dir)
-    if below is not None:
-        lines = lines.where(F.col("l_orderkey") < below)
     x0, y0 = corner(tile_of(F.col("l_orderkey")))
     return lines.select(
         F.col("l_orderkey").alias("trail_id"), "pt", (x0 + F.col("l_partkey") % 200 * 1e-4).alias("x"),
@@ -50,9 +48,9 @@ def trail_points(spark: SparkSession, sf_dir: str, below: int | None = None) ->
     )
 
 
-def lines3d(spark: SparkSession, sf_dir: str, below: int | None = None) -> DataFrame:
+def lines3d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(trail_id, coords): coords is an array of (x, y, z) in order."""
-    points = trail_points(spark, sf_dir, below).groupBy("trail_id").agg(F.sort_array(F.collect_list(F.struct("pt", "x", "y", "z"))).alias("p"))
+    points = trail_points(spark, sf_dir).groupBy("trail_id").agg(F.sort_array(F.collect_list(F.struct("pt", "x", "y", "z"))).alias("p"))
     return points.select("trail_id", F.transform("p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), p["z"].alias("z"))).alias("coords"))
 
 
@@ -68,12 +66,10 @@ def trails(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def edges(spark: SparkSession, sf_dir: str, below: int | None = None) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, source, target, length_km, elevation_gain, elevation_loss, trail_id, trail_name): an
     edge per line item, between two vertices of its tile."""
     lines = _lines(spark, sf_dir)
-    if below is not None:
-        lines = lines.where(F.col("l_orderkey") < below)
     named = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     first = tile_of(F.col("l_orderkey")) * NODES_PER_TILE
     return named.select(
