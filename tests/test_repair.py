@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from waymesh.functions import geo
 from waymesh.operators import components, graph, lines, repair, routes, spatial
 from waymesh.plans import hot
-from waymesh.sources import config, exports, readers, sqlite
+from waymesh.plans.durable import prune, tables_of_runs, written
+from waymesh.sources import config, exports, readers, shapefile, sqlite
 
 EDGE = "id long, source long, target long, length_km double, elevation_gain double, elevation_loss double, trail_id long, trail_name string"
 
@@ -175,3 +176,55 @@ def test_settings():
     for bad in ('{"nothing": 1}', '{"ksp_k": "x"}', '{"split": 3}'):
         with pytest.raises(ValueError):
             config.load(bad)
+
+
+def test_postman_against_all_pairings(spark):
+    import random
+
+    rnd = random.Random(4)
+    ways = [(k, rnd.randrange(9), rnd.randrange(9), rnd.randrange(1, 30) / 10) for k in range(16)]
+    ways = [w for w in ways if w[1] != w[2]]
+    got = {r["component"]: r for r in routes.postman(network(spark, ways)).collect()}
+    least = {}
+    for _, s, t, km in ways:
+        least[s, t] = least[t, s] = min(km, least.get((s, t), 1e9))
+    nodes = sorted({n for _, s, t, _ in ways for n in (s, t)})
+    d = {(a, b): 0.0 if a == b else least.get((a, b), math.inf) for a in nodes for b in nodes}
+    for k in nodes:
+        for a in nodes:
+            for b in nodes:
+                d[a, b] = min(d[a, b], d[a, k] + d[k, b])
+    for c, r in got.items():
+        mine = [n for n in nodes if d[c, n] < math.inf]
+        odd = [n for n in mine if sum((s == n) + (t == n) for _, s, t, _ in ways) % 2]
+
+        def pair(left):
+            return 0.0 if not left else min(d[left[0], left[k]] + pair(left[1:k] + left[k + 1 :]) for k in range(1, len(left)))
+
+        assert r["exact"] and r["again_km"] == pytest.approx(pair(odd)) and r["once_km"] == pytest.approx(sum(w[3] for w in ways if w[1] in mine))
+        rough, exact = routes.matched(d, odd, 0)
+        assert (not odd or not exact) and rough >= r["again_km"] - 1e-9
+
+
+def test_shapefile_lines(spark, tmp_path):
+    import struct
+
+    def record(n, kind, parts, z):
+        points = [p for part in parts for p in part]
+        firsts = [sum(map(len, parts[:k])) for k in range(len(parts))]
+        body = struct.pack("<i4d2i", kind, 0, 0, 1, 1, len(parts), len(points)) + struct.pack(f"<{len(parts)}i", *firsts) + b"".join(struct.pack("<2d", p[0], p[1]) for p in points)
+        body += struct.pack("<2d", 0, 9) + b"".join(struct.pack("<d", p[2]) for p in points) if z else b""
+        return struct.pack(">ii", n, len(body) // 2) + body
+
+    rows = record(1, 13, [[(1, 2, 3), (4, 5, 6)], [(7, 8, 9), (1, 1, 1), (2, 2, 2)]], True) + record(2, 3, [[(0, 0), (1, 1)]], False) + struct.pack(">ii", 3, 2) + struct.pack("<i", 0)
+    (tmp_path / "a.shp").write_bytes(b"\0" * 100 + rows)
+    field = b"name".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([8]) + b"\0" * 15
+    (tmp_path / "a.dbf").write_bytes(struct.pack("<4B I H H", 3, 1, 1, 1, 2, 32 + 32 + 1, 9) + b"\0" * 20 + field + b"\r" + b" " + b"ridge".ljust(8) + b" " + b"creek".ljust(8))
+    got = sorted((r["record"], r["part"], r["properties"]["name"], [tuple(p) for p in r["coords"]]) for r in shapefile.read_shapefile(spark, f"file://{tmp_path}").collect())
+    assert got == [(1, 0, "ridge", [(1, 2, 3), (4, 5, 6)]), (1, 1, "ridge", [(7, 8, 9), (1, 1, 1), (2, 2, 2)]), (2, 0, "creek", [(0, 0, 0), (1, 1, 0)])]
+
+
+def test_old_tables_of_runs_go(spark):
+    written(spark.range(3), "old")
+    last = max(t for _, t in tables_of_runs(spark))
+    assert prune(spark, 0) == 0 and prune(spark, last + 1) >= 1 and not any("waymesh-old" in p for p, _ in tables_of_runs(spark))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -207,6 +208,65 @@ def route_trails(routes: DataFrame, edges: DataFrame, key: list[str]) -> DataFra
     return steps.join(edges.select("id", "trail_id", "trail_name", "length_km"), "id").select(*key, (F.col("seq") + 1).alias("seq"), F.col("id").alias("edge_id"), "trail_id", "trail_name", "length_km")
 
 
+def matched(distance: dict[tuple[int, int], float], odd: list[int], most_exact: int = 16) -> tuple[float, bool]:
+    """Least sum of distances that pairs all of ``odd``, and whether it is proven to be: beyond
+    ``most_exact`` nodes, pairs of nearest nodes that are then exchanged while that helps."""
+    if len(odd) <= most_exact:
+        best = {0: 0.0}
+        for size in range(2, len(odd) + 1, 2):
+            for chosen in combinations(range(len(odd)), size):
+                mask, first = sum(1 << k for k in chosen), chosen[0]
+                best[mask] = min(distance[odd[first], odd[k]] + best[mask ^ 1 << first ^ 1 << k] for k in chosen[1:])
+        return best[(1 << len(odd)) - 1], True
+    left, pairs = sorted(odd), []
+    for _, u, v in sorted((distance[u, v], u, v) for u, v in combinations(left, 2)):
+        if u in left and v in left:
+            pairs.append((u, v))
+            left = [x for x in left if x not in (u, v)]
+    better = True
+    while better:
+        better = False
+        for i, j in combinations(range(len(pairs)), 2):
+            (a, b), (c, d) = pairs[i], pairs[j]
+            for one, two in (((a, c), (b, d)), ((a, d), (b, c))):
+                if distance[one] + distance[two] < distance[pairs[i]] + distance[pairs[j]] - 1e-12:
+                    pairs[i], pairs[j], better = one, two, True
+    return sum(distance[p] for p in pairs), False
+
+
+def postman(edges: DataFrame) -> DataFrame:
+    """(component, n_edges, once_km, again_km, exact): the length of a component's edges, and the least
+    length that has to be walked again so that a round walks all of them: the pairing of nodes of odd
+    degree at least cost. A component is solved in one task."""
+    labels = graph.components(edges)
+    placed = edges.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "length_km")
+
+    def solve(network: pd.DataFrame) -> pd.DataFrame:
+        ways = _adjacency(network)
+        odd = sorted(n for n, w in ways.items() if len(w) % 2)
+        distance = {}
+        for u in odd:
+            costs = _costs(ways, u)
+            distance |= {(u, v): costs[v] for v in odd}
+        again, exact = matched(distance, odd)
+        return pd.DataFrame([(network["component"].iloc[0], len(network), float(network["length_km"].sum()), again, exact)], columns=["component", "n_edges", "once_km", "again_km", "exact"])
+
+    return placed.groupBy("component").applyInPandas(solve, "component long, n_edges long, once_km double, again_km double, exact boolean")
+
+
+def _costs(ways: dict, start: int) -> dict[int, float]:
+    """Least cost from a node to all that it reaches."""
+    heap, done = [(0.0, start)], {}
+    while heap:
+        cost, at = heapq.heappop(heap)
+        if at not in done:
+            done[at] = cost
+            for to, km, _ in ways.get(at, ()):
+                if to not in done:
+                    heapq.heappush(heap, (cost + km, to))
+    return done
+
+
 def loops_by_return(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """(start, goal, path, edge_ids, total_km): out to the goal by a cheapest path and back by a
     cheapest one that uses none of its edges; pairs without such a way back have no row. A

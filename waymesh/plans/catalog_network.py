@@ -245,6 +245,26 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return lines.split_until_stable(lines3d(spark, sf), 10.0, 3).select("id", "root", r(geo.length_m("coords"), 2).alias("length_m"))
 
 
+@query("l110_crossings_and_close_touches", f"WITH {P_}, {STEPS}, {SEGS}, {CROSS}, {ENDS}, {TOUCH}, {parts_sql(BOTH + ' UNION ALL ' + touching(2))} {LENGTHS}")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return _lengths(lines.split_everywhere(lines3d(spark, sf), 2.0))
+
+
+@query("l111_copy_and_split_region", f"WITH {P_.replace('trail_points AS', 'all_points AS')}, {T_}, trail_points AS (SELECT p.* FROM all_points p JOIN trails USING (trail_id) WHERE region = 'EUROPE'), {STEPS}, {SEGS}, {CROSS}, {parts_sql(BOTH)} {LENGTHS}")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    staged = lines3d(spark, sf).join(trails(spark, sf).where("region = 'EUROPE'").select("trail_id"), "trail_id", "left_semi")
+    return _lengths(lines.split_everywhere(staged))
+
+
+@query("l130_nearest_other_ends", f"WITH {P_}, {ENDS}, d AS (SELECT a.trail_id AS id1, a.e AS end1, b.trail_id AS id2, b.e AS end2, {hav('a.x', 'a.y', 'b.x', 'b.y')} AS m FROM ends a JOIN ends b ON {NEAR.format(a='a.trail_id', b='b.trail_id')} AND a.trail_id <> b.trail_id) SELECT id1, end1, rank, round(m, 3) AS metres FROM (SELECT *, row_number() OVER (PARTITION BY id1, end1 ORDER BY m, id2, end2) AS rank FROM d WHERE m <= 400) WHERE rank <= 2")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    e = spatial.endpoints(lines3d(spark, sf))
+    a, b = e.select(F.col("trail_id").alias("id1"), F.col("end").alias("end1"), "x", "y"), e.select(F.col("trail_id").alias("id2"), F.col("end").alias("end2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    near = spatial.within_distance(a, b, 400).where("id1 <> id2")
+    order = Window.partitionBy("id1", "end1").orderBy("metres", "id2", "end2")
+    return near.withColumn("rank", F.row_number().over(order)).where("rank <= 2").select("id1", "end1", "rank", r("metres", 3).alias("metres"))
+
+
 @query("l132_geometry_ledger", f"WITH {P_}, {STEPS}, {SEGS}, {CROSS}, {parts_sql(BOTH)} SELECT parent AS trail_id, CASE WHEN count(*) > 1 THEN 'split' ELSE 'kept' END AS change, count(*) AS n_parts FROM parts GROUP BY 1")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     whole = lines3d(spark, sf)

@@ -166,6 +166,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return routes.loops_by_return(e, pairs).select("start", "goal", r("total_km").alias("total_km"), F.size("edge_ids").alias("n_edges"))
 
 
+@query("rt20_postman")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return routes.postman(_small(spark, sf)).select("component", "n_edges", r("once_km").alias("once_km"), r("again_km").alias("again_km"), "exact")
+
+
 @query("rt24_rt26_anchor_loops")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return routes.anchor_loops(edges(spark, sf), 20, 16.0, 1.0, 20.0, 2).select("start", "goal", r("total_km").alias("total_km"), "n_trails")

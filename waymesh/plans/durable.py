@@ -48,3 +48,20 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def tables_of_runs(spark: SparkSession) -> list[tuple[str, int]]:
+    """(path, time of change in milliseconds) of the tables that runs have left in the shared folder."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(root) if files.exists(root) else []
+    return [(x.getPath().toString(), x.getModificationTime()) for x in found if x.getPath().getName().startswith("waymesh-")]
+
+
+def prune(spark: SparkSession, before_ms: int) -> int:
+    """Delete the tables that were last changed before a time; their number. Results that still
+    read from them can't be computed again."""
+    old = [path for path, changed in tables_of_runs(spark) if changed < before_ms]
+    for path in old:
+        remove(spark, path)
+    return len(old)
