@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from waymesh.functions import scoring
 from waymesh.operators import graph
+from waymesh.plans.durable import checkpointed
 
 
 def search(edges: DataFrame, starts: DataFrame, target_km: float, target_gain: float, tolerance: float, max_hops: int = 8) -> DataFrame:
@@ -117,6 +118,7 @@ def k_shortest(ways: dict, start: int, goal: int, k: int) -> list[tuple[float, l
     first = dijkstra(ways, start, goal)
     if first is None:
         return []
+    kms = {i: km for v in ways.values() for _, km, i in v}
     found, candidates = [first], []
     seen = {tuple(first[2])}
     while len(found) < k:
@@ -129,7 +131,6 @@ def k_shortest(ways: dict, start: int, goal: int, k: int) -> list[tuple[float, l
             path, by = nodes[:j] + tail[1], used[:j] + tail[2]
             if tuple(by) not in seen:
                 seen.add(tuple(by))
-                kms = {i: km for v in ways.values() for _, km, i in v}
                 heapq.heappush(candidates, (sum(kms[i] for i in by), path, by))
         if not candidates:
             break
@@ -137,12 +138,19 @@ def k_shortest(ways: dict, start: int, goal: int, k: int) -> list[tuple[float, l
     return found
 
 
+def _by_component(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges with their component, of the components that a pair starts in, and the pairs."""
+    labels = graph.components(edges)
+    asked = checkpointed(pairs.join(labels.withColumnRenamed("node", "start"), "start").select(F.col("component").alias("part"), "start", "goal"))
+    wanted = labels.join(asked.select(F.col("part").alias("component")).distinct(), "component", "left_semi")
+    placed = edges.join(wanted.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "length_km")
+    return placed, asked
+
+
 def ksp(edges: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """(start, goal, path_id, path, edge_ids, cost) for rows (start, goal). A pair is solved
     in the task that holds its component; components are spread over tasks."""
-    labels = graph.components(edges)
-    placed = edges.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "length_km")
-    asked = pairs.join(labels.withColumnRenamed("node", "start"), "start").select(F.col("component").alias("part"), "start", "goal")
+    placed, asked = _by_component(edges, pairs)
 
     def solve(network: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         ways, out = _adjacency(network), []
@@ -172,8 +180,6 @@ def greedy_cover(routes: DataFrame, n: int, key: str = "route_id") -> DataFrame:
     """(rank, route, new_edges, covered): the longest route first, then at each step the one with
     most edges not yet covered; ties by edges, km and id. ``n`` rounds, each of which keeps one
     row of the routes' counts."""
-    from waymesh.plans.durable import checkpointed
-
     left = checkpointed(routes.select(key, F.round("total_km", 6).alias("total_km"), F.explode(F.array_distinct("edge_ids")).alias("e")))
     picked, covered = [], 0
     for rank in range(1, n + 1):
@@ -271,9 +277,7 @@ def loops_by_return(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """(start, goal, path, edge_ids, total_km): out to the goal by a cheapest path and back by a
     cheapest one that uses none of its edges; pairs without such a way back have no row. A
     pair is solved in the task that holds its component."""
-    labels = graph.components(edges)
-    placed = edges.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "length_km")
-    asked = pairs.join(labels.withColumnRenamed("node", "start"), "start").select(F.col("component").alias("part"), "start", "goal")
+    placed, asked = _by_component(edges, pairs)
 
     def solve(network: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         ways, out = _adjacency(network), []
