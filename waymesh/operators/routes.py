@@ -62,13 +62,22 @@ def similar_sets(members: DataFrame, key: str, member: str, least: float) -> Dat
 
 
 def without_similar(routes: DataFrame, key: str, edge_ids: str, score: str, least_percent: float) -> DataFrame:
-    """Drop a route if a better one shares ``least_percent`` or more of the longer one's edges."""
-    m = routes.select(F.col(key).alias("k"), F.explode(F.array_distinct(edge_ids)).alias("e"))
-    shared = m.withColumnRenamed("k", "id1").join(m.withColumnRenamed("k", "id2"), "e").where("id1 <> id2").groupBy("id1", "id2").agg(F.count("*").alias("both"))
-    info = routes.select(F.col(key).alias("k"), F.col(score).alias("s"), F.size(F.array_distinct(edge_ids)).alias("n"))
-    one, two = (info.withColumnsRenamed({"k": f"id{i}", "s": f"s{i}", "n": f"n{i}"}) for i in (1, 2))
-    worse = shared.join(one, "id1").join(two, "id2").where((F.col("both") * 100 >= F.greatest("n1", "n2") * least_percent) & ((F.col("s2") > F.col("s1")) | ((F.col("s2") == F.col("s1")) & (F.col("id2") < F.col("id1")))))
-    return routes.join(worse.select(F.col("id1").alias(key)).distinct(), key, "left_anti")
+    """Drop a route if a better one shares ``least_percent`` or more of the longer one's edges.
+
+    Two such routes share so many edges that, with all edges in one order, rare ones first,
+    they meet under one of the first few of each; only these are joined, and a route is
+    looked at no further once a better one is found."""
+    sets = routes.select(F.col(key).alias("k"), F.col(score).alias("s"), F.array_distinct(edge_ids).alias("ids"))
+    steps = checkpointed(sets.select("k", F.explode("ids").alias("e")))
+    ranked = steps.join(steps.groupBy("e").agg(F.count("*").alias("uses")), "e").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("uses", "e"))).alias("o"))
+    n = F.size("o")
+    few = F.transform(F.slice("o", F.lit(1), n - F.ceil(n * least_percent / 100 - 1e-9).cast("int") + 1), lambda x: x["e"])
+    listed = checkpointed(ranked.select("k", few.alias("few")).join(sets, "k").select("k", "s", "ids", F.explode("few").alias("e")))
+    one, two = (listed.select(*[F.col(c).alias(f"{c}{i}") for c in ("k", "s", "ids", "e")]) for i in (1, 2))
+    better = (F.col("s2") > F.col("s1")) | ((F.col("s2") == F.col("s1")) & (F.col("k2") < F.col("k1")))
+    shared = F.size(F.array_intersect("ids1", "ids2")) * 100 >= F.greatest(F.size("ids1"), F.size("ids2")) * least_percent
+    worse = one.join(two, (F.col("e1") == F.col("e2")) & better & shared, "left_semi")
+    return routes.join(worse.select(F.col("k1").alias(key)).distinct(), key, "left_anti")
 
 
 def out_and_back(routes: DataFrame) -> DataFrame:
