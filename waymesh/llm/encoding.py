@@ -28,6 +28,8 @@ _BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Latin letters, and what can follow a run of them without belonging to it.
 _LATIN, _AFTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "\\x00-@\\[-`{-\\x7f"
 _CHUNK = re.compile(f"[{_BLANK}]*[{_LATIN}]+(?=[{_AFTER}{_BLANK}]|$)|[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+#: One word with a blank before it or none: the split leaves it whole.
+_WORD = re.compile(f" ?[{_LATIN}]+")
 _PLAIN = re.compile("[\t\n\r ]*[!-~\u00c0-\u024f]*")
 #: The split that byte-level vocabularies of this kind are made with.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -62,14 +64,17 @@ class Encoder:
         # one that reaches into the text around it, or is matched in changed text
         self.by_chunks &= not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in says["added_tokens"])
         self.letters = _byte_letters()
+        self.model, self.blank = self.tokenizer.model.tokenize, chr(self.letters[32])
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _new(self, chunk: str) -> bytes:
         made = self.older.get(chunk)
         if made is None:
-            if _PLAIN.fullmatch(chunk):
-                model, letters = self.tokenizer.model.tokenize, self.letters
+            if _WORD.fullmatch(chunk):
+                ids = [t.id for t in self.model(chunk.replace(" ", self.blank) if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))]
+            elif _PLAIN.fullmatch(chunk):
+                model, letters = self.model, self.letters
                 ids = [t.id for part in _SPLIT.findall(chunk) for t in model(part.encode().decode("latin-1").translate(letters))]
             else:
                 ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
