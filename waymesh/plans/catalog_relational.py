@@ -52,12 +52,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 TRI = "list_distinct(list_transform(range(1, length({0}) + 4), lambda i: substr('  ' || lower({0}) || '  ', i::BIGINT, 3)))"
 
 
-@query("src11_cross_source_overlap", f"""WITH p AS (SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part), pairs AS (
-    SELECT a.p_partkey AS id1, b.p_partkey AS id2, {TRI.format('a.p_name')} AS ta, {TRI.format('b.p_name')} AS tb FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey)
+@query("src11_cross_source_overlap", f"""WITH p AS (SELECT p_partkey, p_name, p_brand, p_type FROM part), pairs AS (
+    SELECT a.p_partkey AS id1, b.p_partkey AS id2, {TRI.format('a.p_name')} AS ta, {TRI.format('b.p_name')} AS tb FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey)
     SELECT id1, id2, round(len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))), 6) AS similarity FROM pairs WHERE len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))) > 0.3
     ORDER BY similarity DESC, id1, id2 LIMIT 100""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    block = ["p_brand", "p_type", "p_size"]
+    block = ["p_brand", "p_type"]
     p = table(spark, sf, "part").select("p_partkey", "p_name", *block)
     a, b = p.select(F.col("p_partkey").alias("id1"), F.col("p_name").alias("n1"), *block), p.select(F.col("p_partkey").alias("id2"), F.col("p_name").alias("n2"), *block)
     pairs = a.join(b, block).where("id1 < id2").withColumn("similarity", trigram_similarity(F.col("n1"), F.col("n2"))).where("similarity > 0.3")
@@ -321,9 +321,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return edges(spark, sf).groupBy("trail_id").agg(F.to_json(F.sort_array(F.collect_list(F.struct("id", F.col("target").alias("to"))))).alias("edges_json"))
 
 
-@query("agg08_having", f"WITH {E_} SELECT source, target, count(*) AS n FROM edges GROUP BY 1, 2 HAVING count(*) >= 12")
+@query("agg08_having", f"WITH {E_} SELECT source, target, count(*) AS n FROM edges GROUP BY 1, 2 HAVING count(*) >= 2")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return edges(spark, sf).groupBy("source", "target").agg(F.count("*").alias("n")).where("n >= 12")
+    return edges(spark, sf).groupBy("source", "target").agg(F.count("*").alias("n")).where("n >= 2")
 
 
 @query("agg11_length_buckets", f"""WITH {E_} SELECT bucket, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM edges), 4) AS pct FROM (SELECT CASE WHEN length_km < 0.5 THEN 'short' WHEN length_km < 2 THEN 'medium' ELSE 'long' END AS bucket FROM edges) GROUP BY 1""")
