@@ -147,3 +147,11 @@ def test_running_totals(spark):
     for r in made:
         assert r["v_before"] == total
         total += r["v"]
+
+
+def test_cell_joins_never_broadcast(spark):
+    """Both sides come out of an explode, whose size the optimizer takes for that of its input."""
+    at = spark.range(50).select("id", (F.col("id") * 1e-4).alias("x"), F.lit(0.0).alias("y"))
+    other = at.select(F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    plan = spatial.within_distance(at, other, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
