@@ -170,7 +170,7 @@ def cycles(edges: DataFrame, max_km: float, max_hops: int) -> DataFrame:
     return found
 
 
-def gaps(nodes: DataFrame, edges: DataFrame, metres: float, x: str = "lng", y: str = "lat") -> DataFrame:
+def gaps(nodes: DataFrame, edges: DataFrame, metres: float, x: str = "lng", y: str = "lat", sheet=None) -> DataFrame:
     """(end, other, metres): a vertex of degree 1 and one of degree 2 or more within
     ``metres`` that no edge joins."""
     from waymesh.operators.spatial import within_distance
@@ -179,4 +179,4 @@ def gaps(nodes: DataFrame, edges: DataFrame, metres: float, x: str = "lng", y: s
     one = known.where("degree = 1").select(F.col("id").alias("end"), F.col(x).alias("x"), F.col(y).alias("y"))
     many = known.where("degree >= 2").select(F.col("id").alias("other"), F.col(x).alias("x2"), F.col(y).alias("y2"))
     joined = symmetric(edges).select(F.col("src").alias("end"), F.col("dst").alias("other"))
-    return within_distance(one, many, metres).select("end", "other", "metres").join(joined, ["end", "other"], "left_anti")
+    return within_distance(one, many, metres, sheets=sheet and (sheet(F.col("end")), sheet(F.col("other")))).select("end", "other", "metres").join(joined, ["end", "other"], "left_anti")

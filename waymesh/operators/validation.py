@@ -52,14 +52,15 @@ def short_connectors(edges: DataFrame, km: float) -> DataFrame:
     return edges.join(at.select("id").distinct(), "id", "left_semi")
 
 
-def bypass_candidates(nodes: DataFrame, edges: DataFrame, metres: float) -> DataFrame:
+def bypass_candidates(nodes: DataFrame, edges: DataFrame, metres: float, sheet: spatial.Sheet = None) -> DataFrame:
     """(id, node): other vertices within ``metres`` of an edge, drawn straight between its ends."""
     size, margin = 0.05, metres / geo.METRES_PER_DEGREE * 2.5
     at = nodes.select("id", geo.point(F.col("lng"), F.col("lat")).alias("p"))
     drawn = graph.without_loops(edges).select("id", "source", "target").join(at.select(F.col("id").alias("source"), F.col("p").alias("a")), "source").join(at.select(F.col("id").alias("target"), F.col("p").alias("b")), "target")
-    cells = spatial.covering(drawn, size, margin)
-    near = at.select(F.col("id").alias("node"), "p", F.floor(F.col("p.x") / size).alias("gx"), F.floor(F.col("p.y") / size).alias("gy"))
-    met = cells.join(near, ["gx", "gy"]).where("node <> source AND node <> target")
+    on = lambda k: F.lit(0) if sheet is None else sheet(F.col(k))
+    cells = spatial.covering(drawn.withColumn("_sheet", on("source")), size, margin)
+    near = at.select(F.col("id").alias("node"), "p", F.floor(F.col("p.x") / size).alias("gx"), F.floor(F.col("p.y") / size).alias("gy"), on("id").alias("_sheet"))
+    met = cells.hint("merge").join(near.hint("merge"), ["_sheet", "gx", "gy"]).where("node <> source AND node <> target")
     return met.where(geo.distance(F.col("p"), geo.between(F.col("a"), F.col("b"), geo.nearest_ratio(F.col("p"), F.col("a"), F.col("b")))) <= metres).select("id", "node")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymesh.operators import graph
 from waymesh.plans.registry import query
-from waymesh.plans.views import EDGES, NODES, TRAILS, edges, hav, nodes, same_tile, table, trails
+from waymesh.plans.views import EDGES, NODES, TRAILS, edges, hav, nodes, same_tile, sheet_of_node, table, trails
 from waymesh.sources.readers import expand_box, in_box, keep_latest, trigram_similarity
 
 E_, N_, T_ = EDGES, NODES, TRAILS
@@ -208,7 +208,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
     n = nodes(spark, sf)
     a, b = n.select(F.col("id").alias("id1"), F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("id2"), F.col("lng").alias("x2"), F.col("lat").alias("y2"))
-    return within_distance(a, b, 3000).where("id1 < id2").select("id1", "id2", F.round("metres", 3).alias("metres"))
+    return within_distance(a, b, 3000, sheets=(sheet_of_node(F.col("id1")), sheet_of_node(F.col("id2")))).where("id1 < id2").select("id1", "id2", F.round("metres", 3).alias("metres"))
 
 
 KNN = f"""WITH {N_}, d AS (SELECT a.id AS id1, b.id AS id2, {hav('a.lng', 'a.lat', 'b.lng', 'b.lat')} AS metres FROM nodes a JOIN nodes b ON {same_tile('a.id', 'b.id')} AND a.id <> b.id), k AS (SELECT *, row_number() OVER (PARTITION BY id1 ORDER BY metres, id2) AS rank FROM d WHERE metres <= 6000)"""
@@ -220,7 +220,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
     n = nodes(spark, sf)
     a, b = n.select(F.col("id").alias("id1"), F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("id2"), F.col("lng").alias("x2"), F.col("lat").alias("y2"))
-    pairs = within_distance(a, b, 6000).where("id1 <> id2")
+    pairs = within_distance(a, b, 6000, sheets=(sheet_of_node(F.col("id1")), sheet_of_node(F.col("id2")))).where("id1 <> id2")
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id1").orderBy("metres", "id2"))).where("rank <= 3").select("id1", "id2", "rank", F.round("metres", 3).alias("metres"))
 
 
@@ -230,7 +230,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
     n = nodes(spark, sf)
     a, b = n.select(F.col("id").alias("id1"), F.col("lng").alias("x"), F.col("lat").alias("y")), n.select(F.col("id").alias("id2"), F.col("lng").alias("x2"), F.col("lat").alias("y2"))
-    best = within_distance(a, b, 6000).where("id1 <> id2").groupBy("id1").agg(F.min(F.struct("metres", "id2")).alias("m"))
+    best = within_distance(a, b, 6000, sheets=(sheet_of_node(F.col("id1")), sheet_of_node(F.col("id2")))).where("id1 <> id2").groupBy("id1").agg(F.min(F.struct("metres", "id2")).alias("m"))
     return best.select("id1", "m.id2", F.round("m.metres", 3).alias("metres"))
 
 
