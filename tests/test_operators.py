@@ -155,3 +155,10 @@ def test_cell_joins_never_broadcast(spark):
     other = at.select(F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     plan = spatial.within_distance(at, other, 100)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_each_distance_is_written_once(spark):
+    """A filter on the distance isn't pushed below the steps that lead to it, repeating them."""
+    found = spatial.ends_on_lines(trails(spark, **CROSS), 200.0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("ASIN(") == 1
