@@ -162,3 +162,10 @@ def test_each_distance_is_written_once(spark):
     found = spatial.ends_on_lines(trails(spark, **CROSS), 200.0)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.upper().count("ASIN(") == 1
+
+
+def test_split_makes_its_lines_once(spark):
+    n = F.col("id")
+    whole = spark.range(2).select(n.alias("trail_id"), F.array(geo.point(n * 0.01, 0.0), geo.point(0.01 - n * 0.01, 0.01)).alias("coords"))
+    parts = lines.split_everywhere(whole)
+    assert "Range (" not in parts._jdf.queryExecution().optimizedPlan().toString() and parts.count() == 4
