@@ -169,3 +169,10 @@ def test_split_makes_its_lines_once(spark):
     whole = spark.range(2).select(n.alias("trail_id"), F.array(geo.point(n * 0.01, 0.0), geo.point(0.01 - n * 0.01, 0.01)).alias("coords"))
     parts = lines.split_everywhere(whole)
     assert "Range (" not in parts._jdf.queryExecution().optimizedPlan().toString() and parts.count() == 4
+
+
+def test_touch_on_a_line_that_comes_by_twice_is_where_it_comes_first(spark):
+    """The elevation doesn't decide which of two visits to one place is cut."""
+    t = trails(spark, visited=[(0.0, 40.0, 900), (0.01, 40.0, 900), (0.01, 40.01, 500), (0.0, 40.01, 500), (0.01, 40.0, 100), (0.02, 40.0, 100)], visitor=[(0.01, 39.9995, 0), (0.01, 39.9, 0)])
+    found = spatial.ends_on_lines(t, 100.0).where("visitor = 'visitor' AND end = 'start'").collect()
+    assert [(r["seg"], r["t"], r["z"]) for r in found] == [(0, 1.0, 900.0)]
