@@ -176,3 +176,27 @@ def test_touch_on_a_line_that_comes_by_twice_is_where_it_comes_first(spark):
     t = trails(spark, visited=[(0.0, 40.0, 900), (0.01, 40.0, 900), (0.01, 40.01, 500), (0.0, 40.01, 500), (0.01, 40.0, 100), (0.02, 40.0, 100)], visitor=[(0.01, 39.9995, 0), (0.01, 39.9, 0)])
     found = spatial.ends_on_lines(t, 100.0).where("visitor = 'visitor' AND end = 'start'").collect()
     assert [(r["seg"], r["t"], r["z"]) for r in found] == [(0, 1.0, 900.0)]
+
+
+def test_components_over_several_ranges(spark, monkeypatch):
+    """Long paths, a hub and loops whose edges fall into many tasks, against a plain search; names as before."""
+    from waymesh.operators import components
+
+    monkeypatch.setattr(components, "OF_A_TASK", 7)
+    pairs = [(k, k + 1) for k in range(40)] + [(1000, 100 + k) for k in range(60)] + [(-5, -5), (500, 90), (7, 7)] + [(2000 + 37 * k % 50, 2000 + 37 * (k + 1) % 50) for k in range(20)]
+    want = {}
+    for a, b in pairs * 60:
+        want[a] = want[b] = min(want.get(a, a), want.get(b, b))
+    edges = spark.createDataFrame([*pairs, (None, 3), (4, None)], "source long, target long")
+    assert {r["node"]: r["component"] for r in connected_components(edges).collect()} == want
+    named = spark.createDataFrame([(f"{a:05d}", f"{b:05d}") for a, b in pairs if a >= 0], "source string, target string")
+    assert {r["node"]: r["component"] for r in connected_components(named).collect()} == {f"{a:05d}": f"{c:05d}" for a, c in want.items() if a >= 0}
+
+
+def test_components_are_solved_without_rounds_of_joins(spark, monkeypatch):
+    """Edges of near ids take no round of the distributed search, whose rounds filled the disk."""
+    from waymesh.operators import components
+
+    monkeypatch.setattr(components, "_by_stars", lambda *_: 1 / 0)
+    edges = spark.createDataFrame([(24 * k + i, 24 * k + i + 1) for k in range(30) for i in range(5)], "source long, target long")
+    assert {r["node"]: r["component"] for r in connected_components(edges).collect()} == {24 * k + i: 24 * k for k in range(30) for i in range(6)}
