@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymesh.operators import walks
 from waymesh.operators.components import connected_components
-from waymesh.plans.durable import checkpointed
+from waymesh.plans.durable import checkpointed, written
+
+#: Edges of a task that solves whole components; nodes from which on a component is left to joins.
+OF_A_TASK, LARGE = 10_000, 20_000
 
 
 def incident(edges: DataFrame) -> DataFrame:
@@ -102,10 +108,70 @@ def merge_vertices(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     return moved.select(*edges.columns).where("source <> target")
 
 
+def in_components(edges: DataFrame, starts: DataFrame | None, cost: str, gain: str | None, solve: Callable, schema: str, by_joins: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame:
+    """The rows that ``solve`` makes of whole components, many to a task: nothing is written for a hop, and
+    what a walk needs is never shuffled. Components of ``LARGE`` nodes or more, and ids that are no whole
+    numbers, go ``by_joins``. ``starts``: ids to start from, or None for all nodes."""
+    whole = ("bigint", "int", "smallint", "tinyint")
+    ids = edges.select("id", "source", "target").dtypes + ([] if starts is None else starts.select("id").dtypes)
+    if not all(t in whole for _, t in ids):
+        return by_joins(edges, starts)
+    least = edges.select(
+        *[F.col(c).cast("long").alias(c) for c in ("id", "source", "target")], F.col(cost).cast("double").alias("cost"), (F.lit(0.0) if gain is None else F.col(gain).cast("double")).alias("gain")
+    )
+    kept = written(least.where("id IS NOT NULL AND source IS NOT NULL AND target IS NOT NULL AND cost IS NOT NULL"), "edges")
+    labels = connected_components(kept)
+    placed = kept.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "cost", "gain")
+    if starts is not None:
+        # a start is a row without an edge
+        asked = starts.select(F.col("id").cast("long").alias("node")).where("node IS NOT NULL").distinct().join(labels, "node", "left")
+        placed = placed.unionByName(asked.select(F.coalesce("component", "node").alias("component"), F.lit(None).cast("long").alias("id"), F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("cost"), F.lit(0.0).alias("gain")))
+    large = checkpointed(labels.groupBy("component").count().where(F.col("count") >= LARGE).select("component"))
+    apart = large.isEmpty()
+    if not apart:
+        placed = placed.join(F.broadcast(large), "component", "left_anti")
+    tasks = max(edges.sparkSession.sparkContext.defaultParallelism, -(-kept.count() // OF_A_TASK))
+    found = placed.repartition(tasks, "component").mapInArrow(solve, schema)
+    if apart:
+        return found
+    of_large = labels.join(F.broadcast(large), "component", "left_semi").select(F.col("node").alias("source"))
+    some = edges.join(of_large, "source", "left_semi")
+    begin = None if starts is None else starts.join(of_large.withColumnRenamed("source", "id"), "id", "left_semi")
+    return found.unionByName(by_joins(some, begin))
+
+
 def shortest_paths(edges: DataFrame, sources: DataFrame, cutoff: float | None = None, cost: str = "length_km", max_rounds: int = 200) -> DataFrame:
     """(start, node, cost, hops): least cost from each start to every node it reaches, all
-    starts at once. Rounds relax only what the last round made cheaper; the table of best
-    costs is partitioned by (start, node) throughout."""
+    starts at once."""
+    return in_components(
+        edges, sources, cost, None, walks.shortest(cutoff, max_rounds), "start long, node long, cost double, hops int",
+        lambda some, begin: _shortest_by_joins(some, begin, cutoff, cost, max_rounds),
+    )
+
+
+def bounded_paths(edges: DataFrame, starts: DataFrame, max_km: float, max_gain: float, max_hops: int, loops: bool = True, least_hops: int = 1) -> DataFrame:
+    """(start, end, path, edge_ids, total_km, total_gain, hops, closed): walks from ``starts``
+    over edges in both directions that repeat no node, but may return to the start by a third
+    or later edge not used before, within the bounds."""
+    return in_components(
+        edges, starts, "length_km", "elevation_gain", walks.bounded(max_km, max_gain, max_hops, loops, least_hops), walks.BOUNDED,
+        lambda some, begin: _bounded_by_joins(some, begin, max_km, max_gain, max_hops, loops, least_hops),
+    )
+
+
+def cycles(edges: DataFrame, max_km: float, max_hops: int) -> DataFrame:
+    """(path, edge_ids, total_km, total_gain, hops): simple cycles of three edges or more,
+    once each: from their least node, towards the lesser of its two neighbours."""
+    clean = without_loops(edges)
+    return in_components(
+        clean, None, "length_km", "elevation_gain", walks.cycles(max_km, max_hops), walks.BOUNDED,
+        lambda some, _: _cycles_by_joins(some, max_km, max_hops).select(F.col("path")[0].alias("start"), F.col("path")[0].alias("end"), "path", "edge_ids", "total_km", "total_gain", "hops", F.lit(True).alias("closed")),
+    ).select("path", "edge_ids", "total_km", "total_gain", "hops")
+
+
+def _shortest_by_joins(edges: DataFrame, sources: DataFrame, cutoff: float | None = None, cost: str = "length_km", max_rounds: int = 200) -> DataFrame:
+    """``shortest_paths`` of large components. Rounds relax only what the last round made cheaper; the table of
+    best costs is partitioned by (start, node) throughout."""
     ways = checkpointed(symmetric(edges, cost).groupBy("src", "dst").agg(F.min("cost").alias("w")))
     best = checkpointed(sources.select(F.col("id").alias("start"), F.col("id").alias("node"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops")))
     frontier = best
@@ -124,11 +190,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, cutoff: float | None =
     raise RuntimeError(f"costs didn't settle in {max_rounds} rounds")
 
 
-def bounded_paths(edges: DataFrame, starts: DataFrame, max_km: float, max_gain: float, max_hops: int, loops: bool = True, least_hops: int = 1) -> DataFrame:
-    """(start, end, path, edge_ids, total_km, total_gain, hops, closed): walks from ``starts``
-    over edges in both directions that repeat no node, but may return to the start by a third
-    or later edge not used before, within the bounds. One join a hop; what is over the bounds
-    goes before the next."""
+def _bounded_by_joins(edges: DataFrame, starts: DataFrame, max_km: float, max_gain: float, max_hops: int, loops: bool = True, least_hops: int = 1) -> DataFrame:
+    """``bounded_paths`` of large components. One join a hop; what is over the bounds goes before the next."""
     ways = symmetric(edges).join(edges.select(F.col("id").alias("edge_id"), F.col("elevation_gain").alias("gain")), "edge_id").where("src <> dst")
     ways = checkpointed(ways.where((F.col("cost") <= max_km) & (F.col("gain") <= max_gain)))
     at = starts.select(F.col("id").alias("start"), F.col("id").alias("end"), F.array("id").alias("path"), F.array().cast("array<bigint>").alias("edge_ids"), F.lit(0.0).alias("total_km"), F.lit(0.0).alias("total_gain"), F.lit(0).alias("hops"), F.lit(False).alias("closed"))
@@ -150,9 +213,8 @@ def bounded_paths(edges: DataFrame, starts: DataFrame, max_km: float, max_gain:
     return made
 
 
-def cycles(edges: DataFrame, max_km: float, max_hops: int) -> DataFrame:
-    """(path, edge_ids, total_km, total_gain, hops): simple cycles of three edges or more,
-    once each: from their least node, towards the lesser of its two neighbours."""
+def _cycles_by_joins(edges: DataFrame, max_km: float, max_hops: int) -> DataFrame:
+    """``cycles`` of large components, by one join a hop."""
     clean = without_loops(edges)
     ends = clean.select(F.col("source").alias("id")).unionAll(clean.select("target")).distinct()
     ways = symmetric(clean).join(clean.select(F.col("id").alias("edge_id"), F.col("elevation_gain").alias("gain")), "edge_id")
