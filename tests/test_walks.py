@@ -53,3 +53,13 @@ def test_no_hop_is_written(network, monkeypatch, name):
             monkeypatch.setattr(graph, what, lambda df, *more, real=real: met.append(set(df.columns)) or real(df, *more))
     ROUNDS[name](edges, starts).count()
     assert not any(c & {"path", "edge_ids", "hops", "start"} for c in met)
+
+
+def test_few_ties_need_no_rounds(spark, monkeypatch):
+    from waymesh.operators import components
+
+    monkeypatch.setattr(components, "OF_A_TASK", 100)
+    monkeypatch.setattr(components, "_by_stars", lambda *_: pytest.fail("rounds of joins"))
+    rows = [(k, k + 1) for k in range(0, 400) if k % 50 != 49]
+    found = components.connected_components(spark.createDataFrame(rows, "source long, target long")).collect()
+    assert {(r.node, r.component) for r in found} == {(k, k // 50 * 50) for k in range(400)}
