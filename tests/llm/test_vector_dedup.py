@@ -104,3 +104,32 @@ def test_counts_matter_at_any_size():
 def test_small_tables(spark, rows):
     got = sorted(tuple(r) for r in vector_dedup.near_vectors(vectors(spark, rows)).collect())
     assert got == brute(rows)
+
+
+def test_lists_of_one_length_are_compared_at_once(monkeypatch):
+    """Lists of many lengths give the pairs that each gives by itself, however many are taken at once."""
+    rng, plan = np.random.default_rng(4), vector_dedup.Plan(20, 10, 2, 2, 0.98)
+    sizes = rng.integers(1, 40, 60)
+    rows = np.zeros(sizes.sum(), dtype=vector_dedup.record(8, plan))
+    rows["list"], rows["cid"] = np.repeat(np.arange(60) * 7, sizes), rng.permutation(len(rows))
+    rows["copy"], rows["hot"] = rng.integers(-127, 128, (len(rows), 8)), rng.random(len(rows)) < 0.3
+    rows["places"], rows["error"] = rng.random((len(rows), 2)) * 3, 0.05
+    x, want = rows["copy"] / np.linalg.norm(rows["copy"].astype(float), axis=1, keepdims=True), []
+    for i in range(len(rows)):
+        for j in range(i + 1, len(rows)):
+            p, q = rows[i], rows[j]
+            if p["list"] == q["list"] and not (p["hot"] and q["hot"]) and (np.abs(p["places"] - q["places"]) <= vector_dedup.WINDOW).all() and x[i] @ x[j] >= 0.5 - 1e-4 - 0.1:
+                want.append((min(p["cid"], q["cid"]), max(p["cid"], q["cid"])))
+    for cells in (100, 20_000, 2_000_000):
+        monkeypatch.setattr(vector_dedup, "CELLS", cells)
+        assert sorted(zip(*map(list, vector_dedup.near_in_lists(rows, 0.5)))) == sorted(want) and want
+
+
+def test_single_precision_decides_only_where_it_is_sure(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = vector_dedup.unit(rng.standard_normal((50, 6)))
+    whole = np.einsum("ik,jk->ij", x, x)
+    monkeypatch.setattr(vector_dedup, "TILE", 16)
+    for cosine in (0.6, float(whole[3, 17]), float(np.nextafter(whole[5, 31], 2))):
+        got = {(int(a), int(b)) for i, j in vector_dedup.linked_pairs(x, x, cosine) for a, b in zip(i, j)}
+        assert got == {(int(a), int(b)) for a, b in zip(*np.nonzero(whole >= cosine))}

@@ -42,16 +42,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymesh.operators.components import connected_components
+from waymesh.operators.components import connected_components, roots_of
 from waymesh.plans.durable import checkpointed
 from waymesh.plans.hot import unique_join
 
-#: Vectors that a list should hold; vectors of a block that are compared at once.
-IN_LIST, BLOCK = 48, 1024
+#: Vectors that a list should hold; vectors of a block; vectors of it that are compared at once.
+IN_LIST, BLOCK, TILE = 48, 4096, 1024
+#: By how much a cosine in single precision may be off at most.
+SURE = 1e-5
 #: Half the width of a window, in standard deviations of a projection.
 WINDOW = 1.0
 #: Collisions that a pair needs at least, whatever the size of the table: one alone proves little.
 LEAST_COUNT = 2
+#: Rows of lists that are packed and compared together; numbers in the copies, or cosines, of lists compared at once.
+OF_A_BUCKET, CELLS = 100_000, 2_000_000
+LISTED = np.dtype([("list", "<i8"), ("cid", "<i8")])
 
 
 @dataclass(frozen=True)
@@ -107,95 +112,134 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def listed(classes: DataFrame, size: int, plan: Plan) -> DataFrame:
-    """Rows (list, cid, hot, places, error, copy): each vector in each of its lists, with its
-    projections there, its 8-bit copy and the bound of that copy's error."""
+def record(size: int, plan: Plan) -> np.dtype:
+    """A vector in one of its lists: its projections there, its 8-bit copy and the bound of that copy's error."""
+    return np.dtype([("list", "<i8"), ("cid", "<i8"), ("hot", "?"), ("places", "<f4", (plan.together,)), ("error", "<f4"), ("copy", "i1", (size,))])
+
+
+def in_buckets(classes: DataFrame, size: int, plan: Plan, number: int, copies: bool) -> DataFrame:
+    """Rows (bucket, rows): the records of ``number`` vectors in each of their lists but those in their ``left_out``,
+    or with ``copies`` false list and cid only, packed by buckets of lists, sorted and in one task a bucket.
+    A list is whole in one bucket."""
+    buckets = max(1, number * math.comb(plan.ends_each, plan.together) // OF_A_BUCKET)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines = directions(size, plan.lines)
+        lines, kind = directions(size, plan.lines), record(size, plan)
+        picks = np.array(list(combinations(range(plan.ends_each), plan.together)))
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
                 x = unit(matrix(batch.column(1)))
                 y = x.astype(np.float32) @ lines
                 ends = farthest(y, plan.ends_each)
-                out = np.take_along_axis(np.abs(y), ends % plan.lines, 1)
-                most = np.abs(x).max(1)
-                small = np.rint(x / most[:, None] * 127).astype(np.int8)
-                # a component is off by half a step at most, and each vector's norm by as much again
-                error = (math.sqrt(size) * most / 127).astype(np.float32)
-                picks = np.array(list(combinations(range(ends.shape[1]), plan.together)))
                 key = np.zeros((len(x), len(picks)), dtype=np.int64)
                 for k in range(plan.together):
                     key = key * (2 * plan.lines) + ends[:, picks[:, k]]
-                places = out[:, picks].astype(np.float32)  # rows, lists, ends of a list
                 each = np.repeat(np.arange(len(x)), len(picks))
-                copies = pa.array([r.tobytes() for r in small], pa.binary()).take(pa.array(each))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.ravel()), batch.column(0).take(pa.array(each)), batch.column(2).take(pa.array(each)), pa.array([p.tobytes() for p in places.reshape(len(each), -1)], pa.binary()), pa.array(error[each]), copies],
-                    names=["list", "cid", "hot", "places", "error", "copy"],
-                )
-
-    return classes.select("cid", "embedding", "hot").mapInArrow(rows, "list long, cid long, hot boolean, places binary, error float, copy binary")
-
-
-def lists_of(classes: DataFrame, size: int, plan: Plan) -> DataFrame:
-    """(list, cid) only."""
-    return listed(classes.withColumn("hot", F.lit(False)), size, plan).select("list", "cid")
-
+                made = np.zeros(len(each), dtype=kind if copies else LISTED)
+                made["list"], made["cid"] = key.ravel(), batch.column(0).to_numpy()[each]
+                if copies:
+                    most = np.abs(x).max(1)
+                    out = np.take_along_axis(np.abs(y), ends % plan.lines, 1)
+                    made["places"] = out[:, picks].reshape(len(each), -1)
+                    # a component is off by half a step at most, and each vector's norm by as much again
+                    made["error"] = (math.sqrt(size) * most / 127)[each]
+                    made["copy"] = np.rint(x / most[:, None] * 127).astype(np.int8)[each]
+                    left = batch.column(2)
+                    hot = left.is_valid().to_numpy(zero_copy_only=False)
+                    made["hot"] = hot[each]
+                    keep = np.ones(key.shape, dtype=bool)
+                    for k in np.flatnonzero(hot):
+                        keep[k] = ~np.isin(key[k], left[int(k)].values.to_numpy())
+                    made = made[keep.ravel()]
+                bucket = (made["list"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                made, bucket = made[order], bucket[order].astype(np.int64)
+                starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                blobs = [made[i:j].tobytes() for i, j in zip(starts, [*starts[1:], len(made)], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(blobs, pa.binary())], names=["bucket", "rows"])
+
+    tasks = max(classes.sparkSession.sparkContext.defaultParallelism, buckets // 4)
+    return classes.select("cid", "embedding", "left_out").mapInArrow(rows, "bucket long, rows binary").repartition(tasks, "bucket").sortWithinPartitions("bucket")
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
+    """The records of each bucket, by list."""
+    now, blobs = None, []
+    for batch in batches:
+        for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if bucket != now and blobs:
+                yield by_list(blobs, kind)
+                blobs = []
+            now = bucket
+            blobs.append(blob.as_buffer())
+    if blobs:
+        yield by_list(blobs, kind)
+
+
+def by_list(blobs: list, kind: np.dtype) -> np.ndarray:
+    rows = np.frombuffer(b"".join(blobs), dtype=kind)
+    return rows[np.argsort(rows["list"], kind="stable")]
+
+
+def spans(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each list begins, and how many rows it has."""
+    begins = np.flatnonzero(np.concatenate(([True], rows["list"][1:] != rows["list"][:-1])))
+    return begins, np.diff(np.append(begins, len(rows)))
+
+
+def crowded_lists(classes: DataFrame, size: int, plan: Plan, number: int, most_in_list: int) -> DataFrame:
+    """(cid, left_out): the lists of over ``most_in_list`` vectors that a vector is in."""
 
-def collisions(rows: DataFrame, size: int, plan: Plan, cosine: float, most_in_list: int) -> DataFrame:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_buckets(batches, LISTED):
+            _, counts = spans(rows)
+            rows = rows[np.repeat(counts > most_in_list, counts)]
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c])) for c in ("cid", "list")], names=["cid", "list"])
+
+    return in_buckets(classes, size, plan, number, False).mapInArrow(found, "cid long, list long").groupBy("cid").agg(F.collect_list("list").alias("left_out"))
+
+
+def near_in_lists(rows: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) for every list in which two vectors collide and may reach the cosine. Lists of about one
+    length are compared at once."""
+    begins, counts = spans(rows)
+    order = np.argsort(counts, kind="stable")
+    order = order[np.searchsorted(counts[order], 2) :]
+    at, found = 0, []
+    while at < len(order):
+        # as many lists as fit, none much shorter than the last
+        least = int(counts[order[at]])
+        upto = int(np.searchsorted(counts[order], least + least // 4, side="right"))
+        width = int(counts[order[upto - 1]])
+        some = order[at : min(upto, at + max(1, CELLS // (width * max(width, rows["copy"].shape[1]))))]
+        width = int(counts[some[-1]])
+        place = begins[some][:, None] + np.minimum(np.arange(width), counts[some][:, None] - 1)
+        small = rows["copy"][place].astype(np.float32)
+        small /= np.linalg.norm(small, axis=2, keepdims=True)
+        error = rows["error"][place]
+        near = small @ small.transpose(0, 2, 1) >= (cosine - 1e-4) - error[:, :, None] - error[:, None, :]
+        k, i, j = np.nonzero(near)
+        keep = (i < j) & (j < counts[some][k])
+        one, two = rows[place[k[keep], i[keep]]], rows[place[k[keep], j[keep]]]
+        keep = (np.abs(one["places"] - two["places"]) <= WINDOW).all(1) & ~(one["hot"] & two["hot"])
+        found.append((one["cid"][keep], two["cid"][keep]))
+        at += len(some)
+    a, b = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, dtype=np.int64) for c in (0, 1))
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def collisions(classes: DataFrame, size: int, plan: Plan, number: int, cosine: float) -> DataFrame:
     """(a, b) for every list in which two vectors collide and may reach the cosine."""
 
-    def pairs(key: np.ndarray, cid: np.ndarray, hot: np.ndarray, places: np.ndarray, error: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(places[:, 0], kind="stable")
-        cid, hot, places, error, small = cid[order], hot[order], places[order], error[order], small[order].astype(np.float32)
-        small /= np.linalg.norm(small, axis=1, keepdims=True)
-        near = small @ small.T >= cosine - 1e-4 - error[:, None] - error[None, :]
-        for k in range(places.shape[1]):
-            near &= np.abs(places[:, None, k] - places[None, :, k]) <= WINDOW
-        near &= ~(hot[:, None] & hot[None, :])
-        i, j = np.nonzero(np.triu(near, 1))
-        return np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])
-
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: pa.Table | None = None
-
-        def whole_lists(table: pa.Table, last: bool) -> tuple[list, pa.Table]:
-            key = table.column(0).to_numpy()
-            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            upto = len(key) if last else int(starts[-1])
-            cid, hot, error = (table.column(c).to_numpy() for c in (1, 2, 4))
-            places = np.frombuffer(b"".join(table.column(3).to_pylist()), dtype=np.float32).reshape(len(key), plan.together)
-            small = np.frombuffer(b"".join(table.column(5).to_pylist()), dtype=np.int8).reshape(len(key), size)
-            a, b = [], []
-            for s, e in zip(starts, [*starts[1:], len(key)], strict=True):
-                if e <= upto and 1 < e - s <= most_in_list:
-                    p, q = pairs(key[s:e], cid[s:e], hot[s:e].astype(bool), places[s:e], error[s:e], small[s:e])
-                    a.append(p)
-                    b.append(q)
-            return [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (a, b)], table.slice(upto)
-
-        skipping = None  # a list known to be too long, whose further rows are passed over
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if skipping is not None:
-                table = table.filter(pa.compute.not_equal(table.column(0), skipping))
-                if not table.num_rows:
-                    continue
-                skipping = None
-            table = table if left is None else pa.concat_tables([left, table])
-            (a, b), left = whole_lists(table, False)
-            if left.num_rows > most_in_list:
-                skipping, left = left.column(0)[0], None
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-        if left is not None and left.num_rows:
-            (a, b), _ = whole_lists(left, True)
+        for rows in whole_buckets(batches, record(size, plan)):
+            a, b = near_in_lists(rows, cosine)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.repartition("list").sortWithinPartitions("list").mapInArrow(found, "a long, b long")
+    return in_buckets(classes, size, plan, number, True).mapInArrow(found, "a long, b long")
 
 
 def cosine_of(x: Column | str, y: Column | str) -> Column:
@@ -207,15 +251,19 @@ def cosine_of(x: Column | str, y: Column | str) -> Column:
     return made(x, y)
 
 
-def local_roots(linked: np.ndarray) -> np.ndarray:
-    """Least index reachable in a symmetric boolean matrix."""
-    roots, n = np.arange(len(linked)), len(linked)
-    while True:
-        new = np.minimum(roots, np.where(linked, roots[None, :], n).min(1, initial=n))
-        new = np.minimum(new, new[new])
-        if (new == roots).all():
-            return roots
-        roots = new
+def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of unit vectors of ``x`` and ``y`` whose cosine reaches the least one. Single precision decides where
+    it is sure, double precision the rest."""
+    small, other = x.astype(np.float32), y.astype(np.float32)
+    for at in range(0, len(x), TILE):
+        for to in range(0, len(y), TILE):
+            near = small[at : at + TILE] @ other[to : to + TILE].T
+            i, j = np.nonzero(near >= cosine - SURE)
+            i, j, near = i + at, j + to, near[i, j]
+            doubt = np.flatnonzero(near <= cosine + SURE)
+            keep = np.ones(len(i), dtype=bool)
+            keep[doubt] = np.einsum("ij,ij->i", x[i[doubt]], y[j[doubt]]) >= cosine
+            yield i[keep], j[keep]
 
 
 def in_blocks(hot: DataFrame, number: int, cosine: float) -> tuple[DataFrame, DataFrame]:
@@ -225,39 +273,47 @@ def in_blocks(hot: DataFrame, number: int, cosine: float) -> tuple[DataFrame, Da
     rows = hot.select("cid", "embedding", "copies", own.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
     rows = rows.select("cid", "embedding", "copies", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
-    def compare(batch: pd.DataFrame) -> pd.DataFrame:
-        i, j = batch["i"].iloc[0], batch["j"].iloc[0]
-        x, copies, cid, own = unit(np.stack(batch["embedding"].to_list())), batch["copies"].to_numpy(), batch["cid"].to_numpy(), batch["own"].to_numpy()
-        linked = x @ x.T >= cosine
-        np.fill_diagonal(linked, False)
-        if i != j:
-            linked &= own[:, None] != own[None, :]
-        roots = local_roots(linked)
-        tied = np.flatnonzero(roots != np.arange(len(roots)))
-        links = linked @ copies
-        return pd.DataFrame({"a": np.concatenate((cid, cid[tied])), "b": np.concatenate((np.full(len(cid), -1), cid[roots[tied]])), "links": np.concatenate((links, np.full(len(tied), -1)))})
-
-    made = checkpointed(rows.groupBy("i", "j").applyInPandas(compare, "a long, b long, links long").where("links <> 0"))
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        cid, copies, own = (table.column(c).to_numpy() for c in ("cid", "copies", "own"))
+        x = unit(matrix(table.column("embedding").combine_chunks()))
+        one, two = np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max())
+        same, links, ties = table.column("i")[0] == table.column("j")[0], np.zeros(len(cid), dtype=np.int64), []
+        if not same and own.min() == own.max():
+            one = one[:0]  # nothing on the other side
+        for i, j in linked_pairs(x[one], x[two], cosine):
+            i, j = one[i], two[j]
+            i, j = (i[i != j], j[i != j]) if same else (i, j)
+            np.add.at(links, i, copies[j])
+            if not same:
+                np.add.at(links, j, copies[i])
+            if len(i):
+                # of many links only what ties their vectors together is kept
+                nodes, roots = roots_of(i, j)
+                ties.append((nodes[nodes != roots], roots[nodes != roots]))
+        nodes, roots = roots_of(*(np.concatenate(c) for c in zip(*ties, strict=True))) if ties else (np.zeros(0, dtype=np.int64),) * 2
+        tied = nodes != roots
+        a, b = np.concatenate((cid, cid[nodes[tied]])), np.concatenate((np.full(len(cid), -1), cid[roots[tied]]))
+        return pa.table({"a": a, "b": b, "links": np.concatenate((links, np.full(int(tied.sum()), -1)))})
+
+    made = checkpointed(rows.groupBy("i", "j").applyInArrow(compare, "a long, b long, links long").where("links <> 0"))
     return made.where("links > 0").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links")), made.where("links < 0").select("a", "b")
 
 
 def linked_classes(classes: DataFrame, size: int, cosine: float, most_in_list: int, recall: float) -> tuple[DataFrame, DataFrame]:
     """Links per class (cid, links) to other classes' vectors, and edges (a, b)."""
-    plan = calibrated(classes.count(), cosine, recall)
-    crowded = lists_of(classes, size, plan)
-    crowded = checkpointed(crowded.groupBy("list").count().where(F.col("count") > most_in_list).select("list"))
-    if crowded.isEmpty():
-        marked = classes.withColumn("hot", F.lit(False))
-    else:
-        hot = lists_of(classes, size, plan).join(crowded, "list", "left_semi").select("cid").distinct()
-        marked = checkpointed(classes.join(hot.withColumn("hot", F.lit(True)), "cid", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
-    met = collisions(listed(marked, size, plan), size, plan, cosine, most_in_list).groupBy("a", "b").count().where(F.col("count") >= plan.least_count).select("a", "b")
+    number = classes.count()
+    plan = calibrated(number, cosine, recall)
+    classes = classes.withColumn("left_out", F.lit(None).cast("array<bigint>"))
+    crowded = checkpointed(crowded_lists(classes, size, plan, number, most_in_list))
+    marked = classes if crowded.isEmpty() else checkpointed(classes.drop("left_out").join(crowded, "cid", "left"))
+    met = collisions(marked, size, plan, number, cosine).groupBy("a", "b").count().where(F.col("count") >= plan.least_count).select("a", "b")
     x, y = (marked.select(F.col("cid").alias(c), F.col("embedding").alias(f"v{c}"), F.col("copies").alias(f"n{c}")) for c in "ab")
     pairs = checkpointed(met.join(x, "a").join(y, "b").where(cosine_of("va", "vb") >= cosine).select("a", "b", "na", "nb"))
     links = pairs.select(F.col("a").alias("cid"), F.col("nb").alias("links")).unionAll(pairs.select(F.col("b").alias("cid"), F.col("na").alias("links")))
     edges = pairs.select("a", "b")
     if not crowded.isEmpty():
-        dense = marked.where("hot")
+        dense = marked.where("left_out IS NOT NULL")
         more, ties = in_blocks(dense, dense.count(), cosine)
         links, edges = links.unionByName(more), edges.unionByName(ties)
     return links.groupBy("cid").agg(F.sum("links").alias("links")), edges
