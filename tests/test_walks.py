@@ -63,3 +63,14 @@ def test_few_ties_need_no_rounds(spark, monkeypatch):
     rows = [(k, k + 1) for k in range(0, 400) if k % 50 != 49]
     found = components.connected_components(spark.createDataFrame(rows, "source long, target long")).collect()
     assert {(r.node, r.component) for r in found} == {(k, k // 50 * 50) for k in range(400)}
+
+
+def test_greedy_cover_writes_its_routes_once(spark, monkeypatch):
+    met = []
+    for what in ("checkpointed", "written"):
+        real = getattr(routes, what, None)
+        if real is not None:
+            monkeypatch.setattr(routes, what, lambda df, *more, real=real: met.append(df.columns) or real(df, *more))
+    rows = [("a", 9.0, [1, 2]), ("b", 5.0, [2, 3, 4]), ("c", 5.0, [3, 4, 5]), ("d", 1.0, [1, 2])]
+    found = routes.greedy_cover(spark.createDataFrame(rows, "route_id string, total_km double, edge_ids array<long>"), 5).collect()
+    assert [tuple(r) for r in found] == [(1, "a", 2, 2), (2, "c", 3, 5)] and len(met) == 1

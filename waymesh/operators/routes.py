@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waymesh.functions import scoring
 from waymesh.operators import graph
-from waymesh.plans.durable import checkpointed
+from waymesh.plans.durable import checkpointed, written
 
 
 def search(edges: DataFrame, starts: DataFrame, target_km: float, target_gain: float, tolerance: float, max_hops: int = 8) -> DataFrame:
@@ -189,17 +189,16 @@ def greedy_cover(routes: DataFrame, n: int, key: str = "route_id") -> DataFrame:
     """(rank, route, new_edges, covered): the longest route first, then at each step the one with
     most edges not yet covered; ties by edges, km and id. ``n`` rounds, each of which keeps one
     row of the routes' counts."""
-    left = checkpointed(routes.select(key, F.round("total_km", 6).alias("total_km"), F.explode(F.array_distinct("edge_ids")).alias("e")))
-    picked, covered = [], 0
+    left = written(routes.select(key, F.round("total_km", 6).alias("total_km"), F.array_distinct("edge_ids").alias("ids")), "routes")
+    picked, taken = [], []
     for rank in range(1, n + 1):
+        new = F.size(F.array_except("ids", F.array(*map(F.lit, taken)).cast(left.schema["ids"].dataType)))
         order = [F.desc("total_km"), F.desc("new"), key] if rank == 1 else [F.desc("new"), F.desc("total_km"), key]
-        best = left.groupBy(key, "total_km").agg(F.count("*").alias("new")).orderBy(*order).limit(1).collect()
+        best = left.withColumn("new", new).where("new > 0").orderBy(*order).limit(1).collect()
         if not best:
             break
-        covered += best[0]["new"]
-        picked.append((rank, best[0][key], best[0]["new"], covered))
-        taken = left.where(F.col(key) == best[0][key]).select("e")
-        left = checkpointed(left.where(F.col(key) != best[0][key]).join(taken, "e", "left_anti"))
+        taken += [i for i in best[0]["ids"] if i not in taken]
+        picked.append((rank, best[0][key], best[0]["new"], len(taken)))
     return routes.sparkSession.createDataFrame(picked, f"rank int, {key} {routes.schema[key].dataType.simpleString()}, new_edges long, covered long")
 
 
