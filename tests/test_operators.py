@@ -200,3 +200,12 @@ def test_components_are_solved_without_rounds_of_joins(spark, monkeypatch):
     monkeypatch.setattr(components, "_by_stars", lambda *_: 1 / 0)
     edges = spark.createDataFrame([(24 * k + i, 24 * k + i + 1) for k in range(30) for i in range(5)], "source long, target long")
     assert {r["node"]: r["component"] for r in connected_components(edges).collect()} == {24 * k + i: 24 * k for k in range(30) for i in range(6)}
+
+
+def test_crossings_join_compares_boxes_only(spark):
+    """A condition with the ratios written out is a method too long for the JVM to compile: 24 microseconds a pair."""
+    two = spark.createDataFrame([(1, [(0.0, 0.0, 0.0), (1.0, 1.0, 10.0)]), (2, [(0.0, 1.0, 0.0), (1.0, 0.0, 0.0)]), (3, [(2.0, 2.0, 0.0), (3.0, 2.0, 0.0)])], f"trail_id long, coords {geo.LINE}")
+    made = spatial.crossings(two, size=5.0)
+    joins = [x for x in made._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    assert joins and all("*" not in x and "/" not in x for x in joins)
+    assert [(x.id1, x.id2, x.x, x.y, x.z, x.ratio, x.ratio2) for x in made.collect()] == [(1, 2, 0.5, 0.5, 5.0, 0.5, 0.5)]
