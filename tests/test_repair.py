@@ -228,3 +228,11 @@ def test_old_tables_of_runs_go(spark):
     written(spark.range(3), "old")
     last = max(t for _, t in tables_of_runs(spark))
     assert prune(spark, 0) == 0 and prune(spark, last + 1) >= 1 and not any("waymesh-old" in p for p, _ in tables_of_runs(spark))
+
+
+def test_rounds_leave_their_last_table_only(spark):
+    """Every round left its whole network on disk."""
+    before = set(tables_of_runs(spark))
+    made, rounds = repair.optimised(network(spark, [(k, k, k + 1, 1) for k in range(1, 9)]))
+    assert rounds > 2 and made.agg({"length_km": "sum"}).first()[0] == 8.0
+    assert len(set(tables_of_runs(spark)) - before) == 1

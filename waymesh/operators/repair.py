@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymesh.operators import graph, spatial, validation
-from waymesh.plans.durable import checkpointed
+from waymesh.plans.durable import Latest, checkpointed, remove, written
 
 
 def bypass_edges(nodes: DataFrame, edges: DataFrame, metres: float, max_hops: int = 10, sheet: spatial.Sheet = None) -> DataFrame:
@@ -51,12 +51,13 @@ def compact_pairs(edges: DataFrame) -> DataFrame:
 def optimised(edges: DataFrame, rounds: int = 20) -> tuple[DataFrame, int]:
     """Pairs are merged, loops dropped and parallel edges reduced to the shortest, until the number
     of edges stays; the network and the number of rounds."""
-    now, count = checkpointed(graph.dedupe_edges(graph.without_loops(edges))), -1
+    kept = Latest("network")
+    now, count = kept.put(graph.dedupe_edges(graph.without_loops(edges))), -1
     for done in range(rounds):
         size = now.count()
         if size == count:
             return now, done
-        now, count = checkpointed(graph.dedupe_edges(graph.without_loops(compact_pairs(now)))), size
+        now, count = kept.put(graph.dedupe_edges(graph.without_loops(compact_pairs(now)))), size
     return now, rounds
 
 
