@@ -236,3 +236,11 @@ def test_rounds_leave_their_last_table_only(spark):
     made, rounds = repair.optimised(network(spark, [(k, k, k + 1, 1) for k in range(1, 9)]))
     assert rounds > 2 and made.agg({"length_km": "sum"}).first()[0] == 8.0
     assert len(set(tables_of_runs(spark)) - before) == 1
+
+
+def test_bypass_search_leaves_few_tables(spark):
+    at = spark.createDataFrame([(k, k * 1e-4, 0.0, 0.0) for k in range(1, 7)], "id long, lng double, lat double, elevation double")
+    before = set(tables_of_runs(spark))
+    gone = repair.bypass_edges(at, network(spark, [(1, 1, 6, 1), *((k, k - 1, k, 1) for k in range(2, 7))]), 20.0)
+    assert [x.id for x in gone.collect()] == [1]
+    assert len(set(tables_of_runs(spark)) - before) == 5  # asked, allowed, ways, front, seen

@@ -13,17 +13,19 @@ def bypass_edges(nodes: DataFrame, edges: DataFrame, metres: float, max_hops: in
     """(id) of edges that pass within ``metres`` of other vertices and can be replaced: a path of at
     most ``max_hops`` other edges joins their ends by way of passed vertices only."""
     clean = graph.without_loops(edges)
-    passed = checkpointed(validation.bypass_candidates(nodes, edges, metres, sheet))
-    asked = clean.join(passed.select("id").distinct(), "id", "left_semi").select("id", "source", "target")
-    allowed = checkpointed(passed.unionByName(asked.select("id", F.col("target").alias("node"))).distinct())
-    ways = checkpointed(graph.symmetric(clean).select("src", "dst", "edge_id"))
-    seen = front = checkpointed(asked.select("id", F.col("source").alias("node")))
+    spark, candidates, fronts, reached = edges.sparkSession, Latest("passed"), Latest("front"), Latest("seen")
+    passed = candidates.put(validation.bypass_candidates(nodes, edges, metres, sheet))
+    asked = written(clean.join(passed.select("id").distinct(), "id", "left_semi").select("id", "source", "target"), "asked")
+    allowed = written(passed.unionByName(asked.select("id", F.col("target").alias("node"))).distinct(), "allowed")
+    remove(spark, candidates.path)
+    ways = written(graph.symmetric(clean).select("src", "dst", "edge_id"), "ways")
+    front, seen = (t.put(asked.select("id", F.col("source").alias("node"))) for t in (fronts, reached))
     for _ in range(max_hops):
         on = front.join(ways, F.col("node") == F.col("src")).where("edge_id <> id").select("id", F.col("dst").alias("node")).distinct()
-        front = checkpointed(on.join(allowed, ["id", "node"], "left_semi").join(seen, ["id", "node"], "left_anti"))
+        front = fronts.put(on.join(allowed, ["id", "node"], "left_semi").join(seen, ["id", "node"], "left_anti"))
         if front.isEmpty():
             break
-        seen = checkpointed(seen.unionByName(front))
+        seen = reached.put(seen.unionByName(front))
     return asked.join(seen.withColumnRenamed("node", "target"), ["id", "target"], "left_semi").select("id")
 
 
