@@ -74,3 +74,35 @@ def test_greedy_cover_writes_its_routes_once(spark, monkeypatch):
     rows = [("a", 9.0, [1, 2]), ("b", 5.0, [2, 3, 4]), ("c", 5.0, [3, 4, 5]), ("d", 1.0, [1, 2])]
     found = routes.greedy_cover(spark.createDataFrame(rows, "route_id string, total_km double, edge_ids array<long>"), 5).collect()
     assert [tuple(r) for r in found] == [(1, "a", 2, 2), (2, "c", 3, 5)] and len(met) == 1
+
+
+def test_k_shortest_paths_solve_many_components_in_a_task(spark, network, monkeypatch):
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", lambda *_: pytest.fail("a call of Python for each component"))
+    edges = network[0].where("target IS NOT NULL AND length_km IS NOT NULL AND elevation_gain IS NOT NULL")
+    pairs = spark.createDataFrame([(10 * p + a, 10 * p + b) for p in range(6) for a in range(3) for b in range(6)] + [(0, 11), (777, 0)], "start long, goal long")
+    found = routes.ksp(edges, pairs, 4).collect()
+    ways = [(r["source"], r["target"], r["length_km"], r["id"]) for r in edges.collect()]
+    ways += [(t, s, km, i) for s, t, km, i in ways]
+
+    def simple(at, goal, path, used):  # all paths, by trying every way
+        if at == goal:
+            yield used, path
+            return
+        for s, t, km, i in ways:
+            if s == at and t not in path:
+                yield from simple(t, goal, [*path, t], [*used, (km, i)])
+
+    known = {w[0] for w in ways}
+    want = {}
+    for s, g in {(r["start"], r["goal"]) for r in pairs.collect()}:
+        all_ = sorted(round(sum(km for km, _ in used), 6) for used, _ in simple(s, g, [s], [])) if s in known and g in known else []
+        if all_:
+            want[s, g] = all_[:4]
+    got = {}
+    for r in sorted(found, key=lambda r: r["path_id"]):
+        got.setdefault((r["start"], r["goal"]), []).append(round(r["cost"], 6))
+        assert r["path"][0] == r["start"] and r["path"][-1] == r["goal"] and len(set(r["path"])) == len(r["path"]) == len(r["edge_ids"]) + 1
+    assert got == want and any(len(v) > 2 for v in got.values())
+    assert len({(r["start"], r["goal"], tuple(r["edge_ids"])) for r in found}) == len(found)

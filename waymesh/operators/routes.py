@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymesh.functions import scoring
-from waymesh.operators import graph
+from waymesh.operators import graph, walks
 from waymesh.plans.durable import checkpointed, written
 
 
@@ -122,31 +122,6 @@ def dijkstra(ways: dict, start: int, goal: int, banned_nodes: frozenset = frozen
     return None
 
 
-def k_shortest(ways: dict, start: int, goal: int, k: int) -> list[tuple[float, list[int], list[int]]]:
-    """Loopless paths in order of cost: deviations from the paths found so far."""
-    first = dijkstra(ways, start, goal)
-    if first is None:
-        return []
-    kms = {i: km for v in ways.values() for _, km, i in v}
-    found, candidates = [first], []
-    seen = {tuple(first[2])}
-    while len(found) < k:
-        _, nodes, used = found[-1]
-        for j in range(len(nodes) - 1):
-            banned = frozenset(p[2][j] for p in found if p[2][:j] == used[:j] and len(p[2]) > j)
-            tail = dijkstra(ways, nodes[j], goal, frozenset(nodes[:j]), banned)
-            if tail is None:
-                continue
-            path, by = nodes[:j] + tail[1], used[:j] + tail[2]
-            if tuple(by) not in seen:
-                seen.add(tuple(by))
-                heapq.heappush(candidates, (sum(kms[i] for i in by), path, by))
-        if not candidates:
-            break
-        found.append(heapq.heappop(candidates))
-    return found
-
-
 def _by_component(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges with their component, of the components that a pair starts in, and the pairs."""
     labels = graph.components(edges)
@@ -156,19 +131,16 @@ def _by_component(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFr
     return placed, asked
 
 
-def ksp(edges: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+def ksp(edges: DataFrame, pairs: DataFrame, k: int, labels: DataFrame | None = None) -> DataFrame:
     """(start, goal, path_id, path, edge_ids, cost) for rows (start, goal). A pair is solved
-    in the task that holds its component; components are spread over tasks."""
-    placed, asked = _by_component(edges, pairs)
-
-    def solve(network: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        ways, out = _adjacency(network), []
-        for s, g in sorted(set(zip(wanted["start"], wanted["goal"], strict=True))):
-            for n, (cost, path, used) in enumerate(k_shortest(ways, int(s), int(g), k)):
-                out.append((int(s), int(g), n + 1, path, used, cost))
-        return pd.DataFrame(out, columns=["start", "goal", "path_id", "path", "edge_ids", "cost"])
-
-    return placed.groupBy("component").cogroup(asked.groupBy("part")).applyInPandas(solve, "start long, goal long, path_id int, path array<long>, edge_ids array<long>, cost double")
+    in the task that holds its component, many components to a task. ``labels``: the components, if known."""
+    kept = written(edges.select(*[F.col(c).cast("long").alias(c) for c in ("id", "source", "target")], F.col("length_km").cast("double").alias("cost")).dropna(), "edges")
+    labels = graph.components(kept) if labels is None else labels
+    placed = kept.join(labels.withColumnRenamed("node", "source"), "source").select("component", "id", "source", "target", "cost")
+    asked = pairs.join(labels.withColumnRenamed("node", "start"), "start").where("goal IS NOT NULL")
+    asked = asked.select("component", F.lit(None).cast("long").alias("id"), F.col("start").cast("long").alias("source"), F.col("goal").cast("long").alias("target"), F.lit(0.0).alias("cost"))
+    tasks = max(edges.sparkSession.sparkContext.defaultParallelism, -(-kept.count() // graph.OF_A_TASK))
+    return placed.unionByName(asked).repartition(tasks, "component").mapInArrow(walks.k_shortest(k), walks.PATHS)
 
 
 def lollipops(edges: DataFrame, target_km: float, anchors: int = 20, k: int = 3) -> DataFrame:

@@ -7,6 +7,7 @@ whatever the number of walks."""
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -166,3 +167,121 @@ def shortest(cutoff: float | None, max_rounds: int) -> Callable:
             yield from _cut(rows)
 
     return solve
+
+
+# ---- k shortest paths
+
+def _rests(ways: list, goal: int) -> dict[int, float]:
+    """Least cost from every node that reaches the goal."""
+    heap, done = [(0.0, goal)], {}
+    while heap:
+        cost, at = heapq.heappop(heap)
+        if at not in done:
+            done[at] = cost
+            for to, km, _ in ways[at]:
+                if to not in done:
+                    heapq.heappush(heap, (cost + km, to))
+    return done
+
+
+def _least(ways: list, rest: dict, start: int, goal: int, banned_nodes: set, banned_edges: set) -> float | None:
+    """Cost of a cheapest path; ``rest`` leads the search."""
+    heap, done = [(rest[start], 0.0, start)], set()
+    while heap:
+        _, cost, at = heapq.heappop(heap)
+        if at == goal:
+            return cost
+        if at not in done:
+            done.add(at)
+            for to, km, i in ways[at]:
+                if to not in done and to not in banned_nodes and i not in banned_edges:
+                    heapq.heappush(heap, (cost + km + rest[to], cost + km, to))
+    return None
+
+
+def _cheapest(ways: list, rest: dict, start: int, goal: int, bound: float, banned_nodes: set, banned_edges: set) -> tuple[float, list[int], list[int]]:
+    """(cost, nodes, edges) of a cheapest path, ties by node and edge ids; what can't be part of one is not looked at."""
+    heap, done = [(0.0, (start,), ())], set()
+    while True:
+        cost, path, used = heapq.heappop(heap)
+        at = path[-1]
+        if at == goal:
+            return cost, list(path), list(used)
+        if at in done:
+            continue
+        done.add(at)
+        for to, km, i in ways[at]:
+            if cost + km + rest[to] <= bound and to not in done and to not in banned_nodes and i not in banned_edges:
+                heapq.heappush(heap, (cost + km, (*path, to), (*used, i)))
+
+
+def _slack(cost: float) -> float:
+    """Sums of the same edges from either end differ by less."""
+    return 1e-9 * (1.0 + abs(cost))
+
+
+def k_cheapest(ways: list, start: int, goal: int, k: int) -> list[tuple[float, list[int], list[int]]]:
+    """Loopless paths in order of cost. A path deviates from the one it came from no earlier than that did; where
+    enough candidates are cheaper than any deviation there can be, it isn't searched for."""
+    rest = _rests(ways, goal)
+    if start not in rest:
+        return []
+    kms = {i: km for at in rest for _, km, i in ways[at]}
+    found, since, candidates = [_cheapest(ways, rest, start, goal, rest[start] + _slack(rest[start]), set(), set())], 0, []
+    while len(found) < k:
+        _, nodes, used = found[-1]
+        before = sum(kms[i] for i in used[:since])
+        for j in range(since, len(nodes) - 1):
+            before += kms[used[j - 1]] if j > since else 0.0
+            banned = {p[2][j] for p in found if len(p[2]) > j and p[2][:j] == used[:j]}
+            passed = set(nodes[:j])
+            open_ = [km + rest[to] for to, km, i in ways[nodes[j]] if i not in banned and to not in passed]
+            wanted = k - len(found)
+            if not open_ or (len(candidates) >= wanted and before + min(open_) > (most := heapq.nsmallest(wanted, candidates)[-1][0]) + _slack(most)):
+                continue
+            least = _least(ways, rest, nodes[j], goal, passed, banned)
+            if least is not None:
+                _, tail, by = _cheapest(ways, rest, nodes[j], goal, least + _slack(least), passed, banned)
+                by = used[:j] + by
+                heapq.heappush(candidates, (sum(kms[i] for i in by), nodes[:j] + tail, by, j))
+        if not candidates:
+            break
+        cost, nodes, used, since = heapq.heappop(candidates)
+        found.append((cost, nodes, used))
+    return found
+
+
+PATHS = "start long, goal long, path_id int, path array<long>, edge_ids array<long>, cost double"
+
+
+def k_shortest(k: int) -> Callable:
+    """Rows (component, id, source, target, cost); a row without an id asks for the way from its source to its target."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        if not rows:
+            return
+        whole = pa.Table.from_batches(rows).combine_chunks()
+        edge = whole.column(1).is_valid().to_numpy()
+        source, target, part = (whole.column(c).to_numpy() for c in (2, 3, 0))
+        asked = sorted(set(zip(source[~edge].tolist(), target[~edge].tolist(), strict=True)))
+        edge &= np.isin(part, part[~edge])
+        nodes, at = np.unique(np.concatenate((source[edge], target[edge])), return_inverse=True)
+        a, b = at[: edge.sum()], at[edge.sum() :]
+        ids, costs = whole.column(1).filter(pa.array(edge)).to_numpy(), whole.column(4).to_numpy()[edge]
+        leaves, to, km, by = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((costs, costs)), np.concatenate((ids, ids))
+        order = np.lexsort((by, km, to, leaves))
+        each = list(zip(to[order].tolist(), km[order].tolist(), by[order].tolist(), strict=True))
+        first = np.searchsorted(leaves[order], np.arange(len(nodes) + 1)).tolist()
+        ways = [each[first[v] : first[v + 1]] for v in range(len(nodes))]
+        place, names, out = {n: v for v, n in enumerate(nodes.tolist())}, nodes.tolist(), []
+        for s, g in asked:
+            if s in place and g in place:
+                for n, (cost, path, used) in enumerate(k_cheapest(ways, place[s], place[g], k)):
+                    out.append((s, g, n + 1, [names[v] for v in path], used, cost))
+        if out:
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.float64())
+            made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield from _cut(pa.RecordBatch.from_arrays(made, names=["start", "goal", "path_id", "path", "edge_ids", "cost"]))
+
+    return solve
