@@ -106,3 +106,44 @@ def test_k_shortest_paths_solve_many_components_in_a_task(spark, network, monkey
         assert r["path"][0] == r["start"] and r["path"][-1] == r["goal"] and len(set(r["path"])) == len(r["path"]) == len(r["edge_ids"]) + 1
     assert got == want and any(len(v) > 2 for v in got.values())
     assert len({(r["start"], r["goal"], tuple(r["edge_ids"])) for r in found}) == len(found)
+
+
+def test_routes_are_compared_where_they_are_found(spark, network, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from waymesh.operators import walks
+
+    edges = network[0].where("target IS NOT NULL AND length_km IS NOT NULL AND elevation_gain IS NOT NULL")
+    starts = graph.incident(edges).select(F.col("node").alias("id")).distinct()
+    found = routes.search(edges, starts, 5.0, 40.0, 20.0, 6).withColumn("route_id", routes.route_name(F.col("start"), F.col("edge_ids"))).withColumn("similarity", F.round("similarity", 6))
+    want = rows_of(routes.without_similar(found, "route_id", "edge_ids", "similarity", 60.0).select("route_id", "similarity"))
+    assert len(want) > 5 and found.count() > 3 * len(want)
+    monkeypatch.setattr(walks, "STARTS", 8)
+    seen = []
+    for module in (graph, routes):
+        for what in ("checkpointed", "written"):
+            real = getattr(module, what)
+            monkeypatch.setattr(module, what, lambda df, *more, real=real: seen.append(set(df.columns)) or real(df, *more))
+    made = routes.search_without_similar(edges, starts, 5.0, 40.0, 20.0, 6, 60.0).select("route_id", "similarity")
+    assert rows_of(made) == want and not any(c & {"ids", "edge_ids", "few", "e", "k"} for c in seen)
+    monkeypatch.setattr(graph, "LARGE", 5)  # some components go by joins
+    assert rows_of(routes.search_without_similar(edges, starts, 5.0, 40.0, 20.0, 6, 60.0).select("route_id", "similarity")) == want
+
+
+@pytest.mark.parametrize("many", [10**9, 2])
+@pytest.mark.parametrize("percent", [34.0, 60.0, 100.0])
+def test_beaten_routes(monkeypatch, many, percent):
+    import numpy as np
+
+    from waymesh.operators import walks
+
+    monkeypatch.setattr(walks, "MANY", many)
+    monkeypatch.setattr(walks, "TILE", 7)
+    rng = random.Random(int(percent))
+    sets = [rng.sample(range(500, 512), rng.randrange(1, 6)) for _ in range(60)]
+    edges = np.array([s + [-1] * (5 - len(s)) for s in sets], dtype=np.int64)
+    score, names = np.array([rng.choice([0.2, 0.5, 0.9]) for _ in sets]), np.array([f"{k * 37 % 60:02}" for k in range(60)], dtype="S2")
+    found = walks.beaten(edges, np.array([len(s) for s in sets]), score, lambda k: names[k], percent)
+    near = lambda a, b: len(set(sets[a]) & set(sets[b])) * 100 >= max(len(sets[a]), len(sets[b])) * percent
+    want = [any(near(a, b) and (score[b] > score[a] or score[b] == score[a] and names[b] < names[a]) for b in range(60) if b != a) for a in range(60)]
+    assert found.tolist() == want and 0 < sum(want) < 60

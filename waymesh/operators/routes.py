@@ -6,8 +6,9 @@ import heapq
 from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymesh.functions import scoring
@@ -80,6 +81,29 @@ def without_similar(routes: DataFrame, key: str, edge_ids: str, score: str, leas
     return routes.join(worse.select(F.col("k1").alias(key)).distinct(), key, "left_anti")
 
 
+def search_without_similar(edges: DataFrame, starts: DataFrame, target_km: float, target_gain: float, tolerance: float, max_hops: int, least_percent: float) -> DataFrame:
+    """(route_id, start, edge_ids, total_km, total_gain, similarity): ``search`` and ``without_similar`` in one, by similarity
+    to six digits and then by name (``route_name``). Routes are compared in the task that finds them and never written."""
+    bounds = [(t * (1 - tolerance / 100), t * (1 + tolerance / 100)) for t in (float(target_km), float(target_gain))]
+
+    def score(km: np.ndarray, gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        taken = (km >= bounds[0][0]) & (km <= bounds[0][1]) & (gain >= bounds[1][0]) & (gain <= bounds[1][1])
+        misses = [np.abs(a - t) / t if t else np.zeros(len(a)) for a, t in ((km, float(target_km)), (gain, float(target_gain)))]
+        return taken, np.floor(np.maximum(0.0, 1 - (misses[0] + misses[1]) / 2) * 1e6 + 0.5) / 1e6
+
+    def by_joins(some: DataFrame, begin: DataFrame) -> DataFrame:
+        found = search(some, begin, target_km, target_gain, tolerance, max_hops).withColumn("similarity", F.floor(F.col("similarity") * 1e6 + 0.5) / 1e6)
+        found = written(found.select(route_name(F.col("start"), F.col("edge_ids")).alias("route_id"), "start", "edge_ids", "total_km", "total_gain", "similarity"), "routes")
+        return without_similar(found, "route_id", "edge_ids", "similarity", least_percent)
+
+    return graph.in_components(edges, starts, "length_km", "elevation_gain", walks.dissimilar(bounds[0][1], bounds[1][1], max_hops, score, least_percent), walks.ROUTES, by_joins)
+
+
+def route_name(start: Column, edge_ids: Column) -> Column:
+    """The MD5 of a route's start and edges."""
+    return F.md5(F.concat(start.cast("string"), F.lit(":"), F.array_join(F.transform(edge_ids, lambda x: x.cast("string")), ",")).cast("binary"))
+
+
 def out_and_back(routes: DataFrame) -> DataFrame:
     """Point-to-point routes (path, edge_ids, total_km, total_gain, total_loss) walked there and back."""
     back = F.slice(F.reverse("path"), F.lit(2), F.size("path"))

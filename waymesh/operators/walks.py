@@ -7,6 +7,7 @@ whatever the number of walks."""
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Callable, Iterator
 
@@ -169,6 +170,127 @@ def shortest(cutoff: float | None, max_rounds: int) -> Callable:
     return solve
 
 
+# ---- routes that no better one resembles
+
+#: Starts whose routes are held at once; routes of a component from which on only those that meet under a rare edge
+#: are compared; rows and columns compared at once.
+STARTS, MANY, TILE = 2_000, 6_000, 1_500
+
+
+def _names(start: np.ndarray, used: np.ndarray, hops: np.ndarray) -> np.ndarray:
+    """A route's name: the MD5 of its start and edges in order."""
+    made = [hashlib.md5(f"{s}:{','.join(map(str, u[:n]))}".encode()).hexdigest() for s, u, n in zip(start.tolist(), used.tolist(), hops.tolist(), strict=True)]
+    return np.array(made, dtype="S32")
+
+
+def _beaten(edges: np.ndarray, hops: np.ndarray, score: np.ndarray, names: Callable[[np.ndarray], np.ndarray], least_percent: float) -> np.ndarray:
+    """For routes as rows of ``edges`` (-1: none), each once: whether a better one, or an equal one of lesser name,
+    shares ``least_percent`` or more of the longer one's. All are compared with all."""
+    order = np.argsort(-score, kind="stable")
+    rank, n = -score[order], len(order)
+    m, inside = np.unique(edges, return_inverse=True)
+    inside = inside.reshape(edges.shape)[order]
+    size, beaten = hops[order].astype(np.float64), np.zeros(n, dtype=bool)
+
+    def member(low: int, high: int) -> np.ndarray:
+        made = np.zeros((high - low, len(m)), dtype=np.float32)
+        np.put_along_axis(made, inside[low:high], 1.0, axis=1)
+        if m[0] == -1:
+            made[:, 0] = 0.0
+        return made
+
+    for low in range(0, n, TILE):
+        high = min(low + TILE, n)
+        one, ties = member(low, high), []
+        for left in range(0, int(np.searchsorted(rank, rank[high - 1], side="right")), TILE):
+            right = min(left + TILE, n)
+            two = one if left == low else member(left, right)
+            near = (one @ two.T).astype(np.float64) * 100 >= np.maximum(size[low:high, None], size[None, left:right]) * least_percent
+            beaten[low:high] |= (near & (rank[None, left:right] < rank[low:high, None])).any(axis=1)
+            i, j = np.nonzero(near & (rank[None, left:right] == rank[low:high, None]) & ~beaten[low:high, None])
+            ties.append((i + low, j + left))
+        i, j = (np.concatenate(c) for c in zip(*ties, strict=True))
+        left = ~beaten[i] & (i != j)
+        i, j = i[left], j[left]
+        if len(i):
+            asked, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+            called = names(order[asked])
+            beaten[i[called[at[len(i) :]] < called[at[: len(i)]]]] = True
+    out = np.empty(n, dtype=bool)
+    out[order] = beaten
+    return out
+
+
+def beaten(edges: np.ndarray, hops: np.ndarray, score: np.ndarray, names: Callable[[np.ndarray], np.ndarray], least_percent: float) -> np.ndarray:
+    """``_beaten``, for many routes list by list: two that share so many edges meet, with all edges in one order, rare
+    ones first, under one of the first few of each."""
+    if len(hops) < MANY:
+        return _beaten(edges, hops, score, names, least_percent)
+    kinds, at, uses = np.unique(edges, return_inverse=True, return_counts=True)
+    place = np.empty(len(kinds), dtype=np.int64)
+    place[np.argsort(uses, kind="stable")] = np.arange(len(kinds))
+    at = np.where(edges < 0, len(kinds), place[at.reshape(edges.shape)])
+    at.sort(axis=1)
+    few = hops - np.ceil(hops * least_percent / 100 - 1e-9).astype(np.int64) + 1
+    row, col = np.nonzero(np.arange(at.shape[1])[None, :] < np.minimum(few, hops)[:, None])
+    by = np.argsort(at[row, col], kind="stable")
+    out = np.zeros(len(hops), dtype=bool)
+    for members in np.split(row[by], np.flatnonzero(np.diff(at[row, col][by])) + 1):
+        # what is beaten may still beat others
+        out[members] |= _beaten(edges[members], hops[members], score[members], lambda k, members=members: names(members[k]), least_percent)
+    return out
+
+
+ROUTES = "route_id string, start long, edge_ids array<long>, total_km double, total_gain double, similarity double"
+
+
+def dissimilar(max_km: float, max_gain: float, max_hops: int, score: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], least_percent: float) -> Callable:
+    """Of the walks that ``score`` (of km and gain: whether it is a route, and how good) takes as routes, those that no
+    better one resembles. Routes that share an edge lie in one component, so none has to leave its task."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network(batches)
+        if net.empty:
+            return
+        starts = net.starts[np.argsort(net.part[net.starts], kind="stable")]
+        ends = np.append(np.flatnonzero(np.diff(net.part[starts])) + 1, len(starts))
+        low = 0
+        while low < len(starts):
+            # whole components: as many as have STARTS starts, one at least
+            fit = ends[(ends > low) & (ends <= low + STARTS)]
+            high = int(fit[-1] if len(fit) else ends[ends > low][0])
+            yield from _routes_of(net, starts[low:high])
+            low = high
+
+    def _routes_of(net: Network, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        met = []
+        for path, used, km, gain, _ in _walks(net, starts, max_km, max_gain, max_hops, True, False):
+            taken, value = score(km, gain)
+            at = np.flatnonzero(taken)
+            if len(at):
+                wide = np.full((len(at), max_hops), -1, dtype=np.int64)
+                for k, u in enumerate(used):
+                    wide[:, k] = net.ids[u[at]]
+                met.append((path[0][at], wide, np.full(len(at), len(used), dtype=np.int64), km[at], gain[at], value[at]))
+        if not met:
+            return
+        start, used, hops, km, gain, value = (np.concatenate(c) for c in zip(*met, strict=True))
+        names = lambda k: _names(net.nodes[start[k]], used[k], hops[k])
+        order = np.argsort(net.part[start], kind="stable")
+        left = []
+        for rows in np.split(order, np.flatnonzero(np.diff(net.part[start[order]])) + 1):
+            left.append(rows[~beaten(used[rows], hops[rows], value[rows], lambda k, rows=rows: names(rows[k]), least_percent)])
+        kept = np.concatenate(left)
+        for k in range(0, len(kept), BLOCK):
+            few = kept[k : k + BLOCK]
+            offsets = np.concatenate(([0], np.cumsum(hops[few]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(used[few][np.arange(max_hops)[None, :] < hops[few][:, None]]))
+            columns = [pa.array([x.decode() for x in names(few)]), pa.array(net.nodes[start[few]]), lists, pa.array(km[few]), pa.array(gain[few]), pa.array(value[few])]
+            yield pa.RecordBatch.from_arrays(columns, names=["route_id", "start", "edge_ids", "total_km", "total_gain", "similarity"])
+
+    return solve
+
+
 # ---- k shortest paths
 
 def _rests(ways: list, goal: int) -> dict[int, float]:
