@@ -190,7 +190,10 @@ def _beaten(edges: np.ndarray, hops: np.ndarray, score: np.ndarray, names: Calla
     rank, n = -score[order], len(order)
     m, inside = np.unique(edges, return_inverse=True)
     inside = inside.reshape(edges.shape)[order]
-    size, beaten = hops[order].astype(np.float64), np.zeros(n, dtype=bool)
+    beaten = np.zeros(n, dtype=bool)
+    # the least number of edges to share, by a route's own
+    sizes = np.arange(edges.shape[1] + 1)
+    need = np.searchsorted(sizes * 100, sizes * least_percent).astype(np.float32)[hops[order]]
 
     def member(low: int, high: int) -> np.ndarray:
         made = np.zeros((high - low, len(m)), dtype=np.float32)
@@ -205,13 +208,13 @@ def _beaten(edges: np.ndarray, hops: np.ndarray, score: np.ndarray, names: Calla
         for left in range(0, int(np.searchsorted(rank, rank[high - 1], side="right")), TILE):
             right = min(left + TILE, n)
             two = one if left == low else member(left, right)
-            near = (one @ two.T).astype(np.float64) * 100 >= np.maximum(size[low:high, None], size[None, left:right]) * least_percent
-            beaten[low:high] |= (near & (rank[None, left:right] < rank[low:high, None])).any(axis=1)
-            i, j = np.nonzero(near & (rank[None, left:right] == rank[low:high, None]) & ~beaten[low:high, None])
-            ties.append((i + low, j + left))
+            i, j = np.nonzero(one @ two.T >= np.maximum(need[low:high, None], need[None, left:right]))
+            i, j = i + low, j + left
+            beaten[i[rank[j] < rank[i]]] = True
+            tied = (rank[j] == rank[i]) & (i != j) & ~beaten[i]
+            ties.append((i[tied], j[tied]))
         i, j = (np.concatenate(c) for c in zip(*ties, strict=True))
-        left = ~beaten[i] & (i != j)
-        i, j = i[left], j[left]
+        i, j = i[~beaten[i]], j[~beaten[i]]
         if len(i):
             asked, at = np.unique(np.concatenate((i, j)), return_inverse=True)
             called = names(order[asked])
